@@ -63,20 +63,25 @@ def english_stop_words(spark: SparkSession) -> list[str]:
 
 
 def ngrams(toks: Column, low: int = 1, high: int = 2) -> Column:
-    """All n-grams of ``low`` to ``high`` tokens as one array."""
-    parts = [toks if n == 1 else _grams(toks, n) for n in range(low, high + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    """All n-grams of ``low`` to ``high`` tokens as one array.
 
-
-def _grams(toks: Column, n: int) -> Column:
-    starts = F.slice(toks, F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.array_join(F.slice(toks, i + 1, F.lit(n)), " "))
-
-
-def term_counts(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
-    """One row per (id, term) with the term frequency ``tf``."""
-    return df.select(id_col, F.explode(terms).alias("term")).groupBy(id_col, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    ``toks`` should be a plain column: an expression would be evaluated again for every use.
+    """
+    grams, out = toks, [toks] if low == 1 else []
+    for n in range(2, high + 1):
+        rest = F.greatest(F.size(toks) - (n - 1), F.lit(0))
+        grams = F.zip_with(F.slice(grams, F.lit(1), rest), F.slice(toks, F.lit(n), rest),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= low:
+            out.append(grams)
+    return out[0] if len(out) == 1 else F.concat(*out)
+
+
+def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: int = 1) -> DataFrame:
+    """One row per (id, n-gram) with the term frequency ``tf``; the tokens are computed once per row."""
+    return df.select(id_col, toks.alias("_toks")).select(
+        id_col, F.explode(ngrams(F.col("_toks"), low, high)).alias("term")
+    ).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(counts: DataFrame, cap: int) -> DataFrame:

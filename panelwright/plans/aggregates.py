@@ -202,10 +202,10 @@ def array_statistics(spark, sf):
 
 @plan("e18_class_centroids", """
 WITH f AS (SELECT label, unnest(embedding) AS v, unnest(range(0, 64)) AS p FROM embeddings),
-m AS (SELECT label, p, avg(CAST(v AS DOUBLE)) AS m FROM f GROUP BY label, p HAVING avg(CAST(v AS DOUBLE)) > 0.1)
+m AS (SELECT label, p, avg(CAST(v AS DOUBLE)) AS m FROM f GROUP BY label, p HAVING avg(CAST(v AS DOUBLE)) > 0.01)
 SELECT label, round(avg(p // 8), 6) + 0.0 AS row, round(avg(p % 8), 6) + 0.0 AS col, count(*) AS n_active FROM m GROUP BY label""")
 def centroids(spark, sf):
-    out = P.active_centroids(scan(spark, sf, "embeddings"), "embedding", "label", 8, 0.1)
+    out = P.active_centroids(scan(spark, sf, "embeddings"), "embedding", "label", 8, 0.01)
     return out.select("label", rounded("row", 6).alias("row"), rounded("col", 6).alias("col"), "n_active")
 
 

@@ -152,8 +152,7 @@ TERMS_SQL = f"""(SELECT doc_id, unnest(list_concat(t, list_transform(range(1, gr
 
 @plan("c12_ngrams", f"SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct FROM {TERMS_SQL} GROUP BY doc_id")
 def ngram_counts(spark, sf):
-    terms = T.ngrams(T.tokens(F.col("text"), 2, STOP))
-    counts = T.term_counts(scan(spark, sf, "documents"), "doc_id", terms)
+    counts = T.term_counts(scan(spark, sf, "documents"), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
     return counts.groupBy("doc_id").agg(F.sum("tf").alias("n_terms"), F.count(F.lit(1)).alias("n_distinct"))
 
 
@@ -164,7 +163,7 @@ r AS (SELECT doc_id, c.term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) + 0.0 AS weight FROM r""")
 def tfidf(spark, sf):
     docs = scan(spark, sf, "documents")
-    counts = T.term_counts(docs, "doc_id", T.ngrams(T.tokens(F.col("text"), 2, STOP)))
+    counts = T.term_counts(docs, "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     return T.tfidf(counts, "doc_id", n, 2000).select("doc_id", "term", rounded("weight", 6).alias("weight"))
 
@@ -255,7 +254,7 @@ WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS v FROM
 k AS (SELECT 'W-SUN' AS rule, CAST(date_trunc('week', day) + INTERVAL 6 DAY AS DATE) AS bucket, v FROM d
       UNION ALL SELECT 'M', last_day(day), v FROM d
       UNION ALL SELECT 'Q', CAST(date_trunc('quarter', day) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), v FROM d)
-SELECT rule, strftime(bucket, '%Y-%m-%d') AS bucket, round(avg(v), 2) + 0.0 AS mean_v, round(quantile_cont(v, 0.5), 4) + 0.0 AS median_v
+SELECT rule, strftime(bucket, '%Y-%m-%d') AS bucket, round(avg(v), 4) + 0.0 AS mean_v, round(quantile_cont(v, 0.5), 4) + 0.0 AS median_v
 FROM k GROUP BY rule, bucket""")
 def resample(spark, sf):
     # a bucket holds at most 92 daily values after the daily sum, so the built-in percentile is bounded
@@ -263,7 +262,7 @@ def resample(spark, sf):
     rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), K.resample_key(F.col("day"), r).alias("bucket"))
                                 for r in ("W-SUN", "M", "Q")]))
     return daily.select("v", rules.alias("k")).groupBy("k.rule", day_text("k.bucket").alias("bucket")).agg(
-        rounded(F.avg("v"), 2).alias("mean_v"), rounded(F.percentile("v", 0.5)).alias("median_v"))
+        rounded(F.avg("v")).alias("mean_v"), rounded(F.percentile("v", 0.5)).alias("median_v"))
 
 
 @plan("d5_future_days", """
