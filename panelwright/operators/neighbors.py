@@ -53,11 +53,11 @@ def nearest_neighbors(queries: DataFrame, corpus: DataFrame, id_col: str, vector
 
     slack = 1e-9
     q_side = q.withColumnRenamed("cell", "qc").join(route, "qc").select(
-        "qc", "cc", F.pmod("h", "qt").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("ct") - 1)).cast("long").alias("cb"),
+        "qc", "cc", F.pmod("h", "qt").alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), (F.col("ct") - 1).cast("long"))).alias("cb"),
         F.col("id"), F.col("v"))
     c_side = c.withColumnRenamed("cell", "cc").join(route, "cc").where(
         F.col("dist").between(F.col("low") - slack, F.col("high") + slack)).select(
-        "qc", "cc", F.explode(F.sequence(F.lit(0), F.col("qt") - 1)).cast("long").alias("qb"), F.pmod("h", "ct").alias("cb"),
+        "qc", "cc", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("qt") - 1).cast("long"))).alias("qb"), F.pmod("h", "ct").alias("cb"),
         F.col("id"), F.col("v"))
     keys = ["qc", "cc", "qb", "cb"]
     id_type = corpus.schema[id_col].dataType.simpleString()

@@ -40,9 +40,10 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str
     Only rows without NULL in any column count. Ranks come from value counts, so
     no column is sorted in one task; a constant column gives NULL.
     """
-    ranked = df.na.drop(subset=list(columns)).select(*id_cols, *columns)
+    base = df.na.drop(subset=list(columns)).select(*id_cols, *columns)
+    ranked = base
     for c in columns:
-        ranked = average_ranks(ranked, c, f"_rank_{c}", spread_by=list(id_cols))
+        ranked = average_ranks(ranked, c, f"_rank_{c}", spread_by=list(id_cols), source=base)
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
     ranks = [f"_rank_{c}" for c in columns]
     stats = ranked.agg(

@@ -41,8 +41,9 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], count_col
         F.when(F.coalesce(F.col("_hot"), F.lit(False)) | no_key,
                F.pmod(F.xxhash64(*spread), F.lit(fan))).otherwise(F.lit(0).cast("long")),
     ).drop("_hot")
-    salts = F.when(F.col(count_col) > hot_rows, F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.withColumn("_salt", F.explode(salts).cast("long"))
+    zero = F.lit(0).cast("long")
+    salts = F.when(F.col(count_col) > hot_rows, F.sequence(zero, F.lit(fan - 1).cast("long"))).otherwise(F.array(zero))
+    right = lookup.withColumn("_salt", F.explode(salts))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -155,9 +156,12 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def average_ranks(df: DataFrame, value: str, rank_col: str, keys: Sequence[str] = (),
-                  spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Attach the average-tie rank of ``value`` (per key); NULL values get NULL."""
-    ranked = value_counts_ranked(df, value, keys).select(
+                  spread_by: Sequence[str] | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Attach the average-tie rank of ``value`` (per key); NULL values get NULL.
+
+    ``source`` names the table to rank within when ``df`` already carries other joins.
+    """
+    ranked = value_counts_ranked(df if source is None else source, value, keys).select(
         *keys, value, F.col("n").alias("_n"),
         (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2).alias(rank_col),
     )

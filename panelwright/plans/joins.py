@@ -99,11 +99,11 @@ def fallback(spark, sf):
 
 
 @plan("g8_aligned_inner_join", f"""
-WITH {PANEL_SQL}, {DRIVER_SQL} SELECT series, strftime(day, '%Y-%m-%d') AS day, round(v, 2) + 0.0 AS v, round(price, 4) + 0.0 AS price
+WITH {PANEL_SQL}, {DRIVER_SQL} SELECT series, strftime(day, '%Y-%m-%d') AS day, round(v, 2) + 0.0 AS v, round(price, 6) + 0.0 AS price
 FROM p JOIN dr USING (day) WHERE v IS NOT NULL AND price IS NOT NULL""")
 def aligned(spark, sf):
     out = dense_panel(spark, sf).join(driver(spark, sf), "day").na.drop(subset=["v", "price"])
-    return out.select("series", day_text("day").alias("day"), rounded("v", 2).alias("v"), rounded("price").alias("price"))
+    return out.select("series", day_text("day").alias("day"), rounded("v", 2).alias("v"), rounded("price", 6).alias("price"))
 
 
 @plan("g9_semi_join", """

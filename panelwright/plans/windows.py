@@ -21,14 +21,14 @@ o AS (SELECT *, max(CAST(v IS NOT NULL AS INTEGER)) OVER (PARTITION BY series OR
   AND max(CAST(v IS NOT NULL AS INTEGER)) OVER (PARTITION BY series ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) = 1 AS opn,
   quantile_cont(v, 0.5) OVER (PARTITION BY series, isodow(day)) AS md, quantile_cont(v, 0.5) OVER (PARTITION BY series) AS ms FROM p),
 f AS (SELECT series, day, coalesce(v, CASE WHEN opn THEN coalesce(md, ms) ELSE 0.0 END) AS v FROM o)
-SELECT series, {DAY_SQL}, round(v, 2) + 0.0 AS v,
-  {", ".join(f"round(lag(v, {k}) OVER w, 2) + 0.0 AS y_lag_{k}" for k in range(1, 8))}
+SELECT series, {DAY_SQL}, round(v, 4) + 0.0 AS v,
+  {", ".join(f"round(lag(v, {k}) OVER w, 4) + 0.0 AS y_lag_{k}" for k in range(1, 8))}
 FROM f WINDOW w AS (PARTITION BY series ORDER BY day)""")
 def flagship(spark, sf):
     filled = P.fill_gaps(dense_panel(spark, sf), KEYS, "v")
     lagged = filled.withColumns(P.lag_block("v", 7, KEYS))
-    return lagged.select("series", DAY, rounded("v", 2).alias("v"),
-                         *[rounded(f"y_lag_{k}", 2).alias(f"y_lag_{k}") for k in range(1, 8)])
+    return lagged.select("series", DAY, rounded("v").alias("v"),
+                         *[rounded(f"y_lag_{k}").alias(f"y_lag_{k}") for k in range(1, 8)])
 
 
 @plan("f1_group_size", """
@@ -89,10 +89,11 @@ def open_window(spark, sf):
 
 
 @plan("f8_centred_mean", f"""
-WITH {PANEL_SQL} SELECT series, {DAY_SQL}, CASE WHEN count(v) OVER w >= 183 THEN round(avg(v) OVER w, 4) + 0.0 END AS smooth
-FROM p WINDOW w AS (PARTITION BY series ORDER BY day ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)""")
+WITH {PANEL_SQL} SELECT series, {DAY_SQL}, CASE WHEN count(v) OVER w >= 183 THEN round(avg(v) OVER w, 5) + 0.0 END AS smooth
+FROM (SELECT series, day, CAST(round(v * 100) AS BIGINT) AS v FROM p) WINDOW w AS (PARTITION BY series ORDER BY day ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)""")
 def centred_mean(spark, sf):
-    return dense_panel(spark, sf).select("series", DAY, rounded(P.centred_mean("v", KEYS)).alias("smooth"))
+    cents = dense_panel(spark, sf).withColumn("v", F.round(F.col("v") * 100).cast("bigint"))
+    return cents.select("series", DAY, rounded(P.centred_mean("v", KEYS), 5).alias("smooth"))
 
 
 @plan("f9_forward_exposure", f"""
