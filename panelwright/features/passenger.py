@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelwright.features.base import StateEstimator, StateModel
+from panelwright.features.base import StateEstimator, StateModel, freeze
 from panelwright.features.steps import (
     DomainOneHot, DomainOneHotModel, FrequencyEncoder, FrequencyEncoderModel, GroupMedianImputer, GroupMedianImputerModel,
     PopulationScaler, PopulationScalerModel, RareLevelCollapser, RareLevelCollapserModel, SimpleImputer, SimpleImputerModel,
@@ -50,7 +50,8 @@ class PassengerFeaturizer(StateEstimator):
         self.min_freq = min_freq
 
     def _fit(self, df: DataFrame) -> "PassengerFeaturizerModel":
-        rows = parse_passengers(df)
+        needed = ["Pclass", "Sex", "Age", "SibSp", "Parch", "Fare", "Embarked", "Surname", *NUMERIC[3:8], "Title", "Deck", "TicketItem"]
+        rows = freeze(parse_passengers(df).select(*needed), "passengers")  # read by every statistic below
         fitted = {}
 
         def step(name, estimator, frame):

@@ -204,15 +204,17 @@ class DomainOneHot(StateEstimator):
         self.columns, self.drop_first, self.domains, self.keep_input = list(columns), drop_first, domains, keep_input
 
     def _fit(self, df: DataFrame) -> "DomainOneHotModel":
-        domains = {}
-        for c in self.columns:
-            if self.domains and c in self.domains:
-                domains[c] = list(self.domains[c])
-                continue
-            rows = df.where(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("v")).distinct().limit(MAX_LEVELS + 1).collect()
-            if len(rows) > MAX_LEVELS:
-                raise FitError(f"column {c} has more than {MAX_LEVELS} levels; collapse rare ones first")
-            domains[c] = sorted(r["v"] for r in rows)
+        domains = {c: list(self.domains[c]) for c in self.columns if self.domains and c in self.domains}
+        open_columns = [c for c in self.columns if c not in domains]
+        if open_columns:
+            long = df.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in open_columns])).alias("r")).select("r.*")
+            found = long.where(F.col("v").isNotNull()).distinct().limit(MAX_LEVELS * len(open_columns) + 1).collect()
+            fitted = {c: sorted(r["v"] for r in found if r["c"] == c) for c in open_columns}
+            wide = [c for c, levels in fitted.items() if len(levels) > MAX_LEVELS]
+            if wide or len(found) > MAX_LEVELS * len(open_columns):
+                raise FitError(f"columns {wide or open_columns} have more than {MAX_LEVELS} levels; collapse rare ones first")
+            domains |= fitted
         return DomainOneHotModel({"columns": self.columns, "domains": domains, "drop_first": self.drop_first,
                                   "keep_input": self.keep_input})
 
