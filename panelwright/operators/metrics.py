@@ -146,9 +146,12 @@ def chi2_tail(x: float, dof: int) -> float:
     return lead * h
 
 
-@F.pandas_udf("double")
-def _chi2_p(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_tail(a, int(b)) for a, b in zip(x, dof, strict=True)])
+def _chi2_p(statistic: Column | str, dof: Column | str) -> Column:
+    """p-value of a test result; the frame it is applied to has one row per test."""
+    def tail(x: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([chi2_tail(a, int(b)) for a, b in zip(x, d, strict=True)])
+
+    return F.pandas_udf(tail, "double")(statistic, dof)
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
