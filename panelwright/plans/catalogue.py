@@ -6,7 +6,7 @@ import importlib
 
 from panelwright.plans.registry import ORACLES, PLANS
 
-MODULES = ("scans", "expressions", "text", "aggregates", "windows", "joins", "reshape", "splits", "timeseries", "features", "evaluation", "models")
+MODULES = ("scans", "expressions", "text", "aggregates", "windows", "joins", "reshape", "splits", "timeseries", "features", "evaluation", "models", "streams")
 
 
 def load() -> tuple[dict, dict]:
