@@ -150,7 +150,8 @@ class RareLevelCollapser(StateEstimator):
 
     ``base='rows'`` keeps levels with at least ``int(min_freq * rows)`` rows: at
     most about 2 / min_freq levels, kept in the state. ``base='levels'`` compares
-    with ``min_freq * number of levels``; its level table may grow and is joined.
+    with ``min_freq * number of levels``; up to MAX_LEVELS kept levels go to the
+    state, a larger level table is joined. One pass counts the levels of all columns.
     """
 
     def __init__(self, columns: Sequence[str], min_freq: float = 0.01, base: str = "rows"):
@@ -160,33 +161,38 @@ class RareLevelCollapser(StateEstimator):
         self.columns, self.min_freq, self.base = list(columns), min_freq, base
 
     def _fit(self, df: DataFrame) -> "RareLevelCollapserModel":
-        state = {"columns": self.columns, "base": self.base, "kept": {}}
+        state = {"columns": self.columns, "base": self.base, "kept": {c: [] for c in self.columns}}
         tables = {}
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in self.columns])).alias("r"))
+        counts = freeze(long.select("r.*").where(F.col("level").isNotNull()).groupBy("column", "level").agg(
+            F.count(F.lit(1)).alias("_n")), "level-counts")
         if self.base == "rows":
-            threshold = int(self.min_freq * df.count())
-            long = df.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in self.columns])).alias("r"))
-            counts = long.select("r.*").where(F.col("level").isNotNull()).groupBy("column", "level").count()
-            state["kept"] = {c: [] for c in self.columns}
-            for r in counts.where(F.col("count") >= threshold).orderBy("column", "level").collect():
-                state["kept"][r["column"]].append(r["level"])
+            threshold = F.lit(int(self.min_freq * df.count()))
         else:
-            for c in self.columns:
-                counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                n_levels = counts.count()
-                tables[c] = freeze(counts.where(F.col("_n") >= self.min_freq * n_levels), f"levels-{c}")
+            sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+            threshold = F.lit(0.0)
+            for c, n in sizes.items():
+                threshold = F.when(F.col("column") == c, F.lit(self.min_freq * n)).otherwise(threshold)
+        kept = counts.where(F.col("_n") >= threshold)
+        n_kept = {r["column"]: r["count"] for r in kept.groupBy("column").count().collect()}
+        small = [c for c in self.columns if n_kept.get(c, 0) <= MAX_LEVELS or self.base == "rows"]
+        for r in kept.where(F.col("column").isin(*small)).orderBy("column", "level").collect():
+            state["kept"][r["column"]].append(r["level"])
+        for c in self.columns:
+            if c not in small:
+                tables[c] = freeze(kept.where(F.col("column") == c).select(F.col("level").alias(c), "_n"), "levels")
         return RareLevelCollapserModel(state, tables)
 
 
 class RareLevelCollapserModel(StateModel):
     def _transform(self, df: DataFrame) -> DataFrame:
-        if self.state["base"] == "rows":
-            return df.withColumns({
-                c: F.when(F.col(c).isin(*self.state["kept"][c]), F.col(c)).otherwise(F.lit("Other"))
-                if self.state["kept"][c] else F.lit("Other") for c in self.state["columns"]})
-        out = df
-        for c in self.state["columns"]:
-            joined = join_lookup(out, self.tables[c], [c], "_n")
+        kept = self.state["kept"]
+        out = df.withColumns({
+            c: F.when(F.col(c).isin(*kept[c]), F.col(c)).otherwise(F.lit("Other")) if kept[c] else F.lit("Other")
+            for c in self.state["columns"] if c not in self.tables})
+        for c, table in self.tables.items():
+            joined = join_lookup(out, table, [c], "_n")
             out = joined.withColumn(c, F.when(F.col("_n").isNotNull(), F.col(c)).otherwise(F.lit("Other"))).select(*df.columns)
         return out
 

@@ -83,7 +83,14 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
 def threshold_sweep(df: DataFrame, label: str, score: str, low: float = 0.05, high: float = 0.95, steps: int = 181) -> DataFrame:
     """Accuracy of ``score >= t`` for every cut-off t, from one histogram over the cut-offs."""
     cuts = [low + (high - low) * i / (steps - 1) for i in range(steps)]
-    passed = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_s")))
+
+    def cut(i: Column) -> Column:
+        return F.lit(low) + F.lit(high - low) * i / F.lit(steps - 1)
+
+    # arithmetic finds the number of passed cut-offs up to rounding; its neighbours settle it
+    guess = F.least(F.greatest(F.floor((F.col("_s") - low) / ((high - low) / (steps - 1))) + 1, F.lit(0)), F.lit(steps))
+    passed = (F.when((guess > 0) & (F.col("_s") < cut(guess - 1)), guess - 1)
+              .when((guess < steps) & (F.col("_s") >= cut(guess)), guess + 1).otherwise(guess)).cast("int")
     hist = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("bigint").alias("_y")).groupBy(
         passed.alias("_k")).agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
     spark = df.sparkSession

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelwright.functions.calendar import resample_key
-from panelwright.operators.scale import range_index, value_edges
+from panelwright.operators.scale import join_lookup, range_index, value_edges
 
 
 def daily_panel(df: DataFrame, series: Mapping[str, Column], day: Column, measures: Mapping[str, Column]) -> DataFrame:
@@ -140,13 +140,13 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
                   values: Sequence[str], edges: Sequence[float] | None = None) -> DataFrame:
     """Attach the latest right-hand values at or before each left row, per key.
 
-    Both sides are unioned and the last known right row is carried forward: no
-    range join. Time is cut into ranges, and the value that enters a range is
-    carried over from the ranges before it, so a hot key is spread over tasks.
-    Left rows need not be unique; right times are unique per key.
+    No range join: the distinct left times and the right rows are unioned and the
+    last known right row is carried forward. Time is cut into ranges, and the
+    value that enters a range is carried over from the ranges before it, so a hot
+    key is spread over tasks; repeated left times are joined back by a salted
+    lookup. Left rows need not be unique; right times are unique per key.
     """
     keys = list(keys)
-    payload = [c for c in left.columns if c not in keys and c != left_time]
     if edges is None:
         edges = value_edges(left.select(_seconds(F.col(left_time)).alias("_s")), "_s")
 
@@ -154,11 +154,12 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
         return range_index(_seconds(F.col(time)), edges).alias("_range")
 
     right_type = right.select(F.struct(*values)).schema[0].dataType
-    l = left.select(*keys, cut(left_time), F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
-                    F.struct(F.lit(True).alias("_row"), *payload).alias("_left"),
-                    F.lit(None).cast(right_type).alias("_right"))
-    r = right.select(*keys, cut(right_time), F.col(right_time).alias("_t"), F.lit(0).alias("_side"),
-                     F.lit(None).cast(l.schema["_left"].dataType).alias("_left"), F.struct(*values).alias("_right"))
+    times = left.where(F.col(left_time).isNotNull()).groupBy(*keys, left_time).agg(F.count(F.lit(1)).alias("_n"))
+    l = times.select(*keys, cut(left_time), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), "_n",
+                     F.lit(None).cast(right_type).alias("_right"))
+    r = right.where(F.col(right_time).isNotNull()).select(
+        *keys, cut(right_time), F.col(right_time).alias("_t"), F.lit(0).alias("_side"),
+        F.lit(0).cast("bigint").alias("_n"), F.struct(*values).alias("_right"))
     merged = l.unionByName(r)
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = merged.groupBy(*keys, "_range").agg(
@@ -167,9 +168,9 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     order = Window.partitionBy(*keys, "_range").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     local = merged.withColumn("_hit", F.last("_right", ignorenulls=True).over(order)).where(F.col("_side") == 1)
     hit = F.coalesce("_hit", "_carry")
-    return local.join(carried, [*keys, "_range"], "left").select(
-        *keys, F.col("_t").alias(left_time), *[F.col(f"_left.{c}").alias(c) for c in payload],
-        *[hit[v].alias(v) for v in values])
+    found = local.join(carried, [*keys, "_range"], "left").select(
+        *keys, F.col("_t").alias(left_time), *[hit[v].alias(v) for v in values], "_n")
+    return join_lookup(left, found, [*keys, left_time], "_n").select(*left.columns, *values)
 
 
 def _seconds(time: Column) -> Column:

@@ -27,11 +27,13 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], count_col
     Spark's runtime skew join cannot split a side that sits below an aggregate,
     so keys whose ``count_col`` exceeds ``hot_rows`` get a salt on the left and
     are repeated once per salt on the right. ``count_col`` stays in the result.
+    ``spread_by`` names columns that differ between a key's rows.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     fan = FAN if fan is None else fan
     keys = list(keys)
-    spread = [F.col(c) for c in (spread_by or df.columns)]
+    # a few columns are enough to spread a hot key; hashing every column would bloat the generated code
+    spread = [F.col(c) for c in (spread_by or [c for c in df.columns if c not in keys][:3] or keys)]
     hot = lookup.where(F.col(count_col) > hot_rows).select(*keys, F.lit(True).alias("_hot"))
     no_key = F.lit(False)
     for k in keys:
@@ -72,10 +74,17 @@ def value_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[fl
 
 
 def range_index(value: Column, edges: Sequence[float]) -> Column:
-    """Position of the range that holds ``value``: the number of edges below it."""
-    if not edges:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < value))
+    """Position of the range that holds ``value``: the number of edges below it.
+
+    A balanced tree of comparisons, so that it stays inside generated code.
+    """
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(value > F.lit(float(edges[mid])), search(mid + 1, high)).otherwise(search(low, mid))
+
+    return search(0, len(edges))
 
 
 def running_totals(freq: DataFrame, value: str, measures: Sequence[str], keys: Sequence[str] = (),
@@ -120,7 +129,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
     Works on distinct values with counts and their running ranks, so unlike the
     built-in exact ``percentile`` it never holds one group's values in one task.
-    Also returns the number of values ``n_values``.
+    Also returns the number of values ``n_values``. Rows with a NULL key form no
+    group, as in pandas.
     """
     keys = list(keys)
     long = df.select(
@@ -186,16 +196,16 @@ def numbered_by_hash(df: DataFrame, id_cols: Sequence[str], keys: Sequence[str]
     The order is cut by the leading hex digits of the digest, which are uniform,
     so a key that holds a third of all rows is still spread over 4,096 ranges.
     """
-    keys = list(keys)
-    part = keys or [F.lit(0)]
-    h = df.withColumn("_h", hash_key(*id_cols, seed=seed)).withColumn("_p", F.substring("_h", 1, 3))
-    below = Window.partitionBy(*part).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = h.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n")).select(
-        *keys, "_p", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(*part)).alias("_tot"),
+    # one text key that is never NULL, so that rows without a key form a group of their own
+    group = F.to_json(F.struct(*keys)) if keys else F.lit("")
+    h = df.withColumn("_h", hash_key(*id_cols, seed=seed)).withColumn("_p", F.substring("_h", 1, 3)).withColumn("_g", group)
+    below = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = h.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_g", "_p", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy("_g")).alias("_tot"),
     )
-    local = Window.partitionBy(*keys, "_p").orderBy("_h", *id_cols)
+    local = Window.partitionBy("_g", "_p").orderBy("_h", *id_cols)
     cols = [*df.columns, (F.col("_rn") + F.col("_off")).cast("long").alias(out)]
     if total:
         cols.append(F.col("_tot").alias(total))
-    return h.withColumn("_rn", F.row_number().over(local)).join(counts, [*keys, "_p"]).select(*cols)
+    return h.withColumn("_rn", F.row_number().over(local)).join(counts, ["_g", "_p"]).select(*cols)

@@ -22,7 +22,7 @@ from panelwright.plans.panels import KEYS, PANEL_SQL, dense_panel, promotions
 from panelwright.plans.registry import day_text, plan, rounded
 from panelwright.plans.text import PAIRS_SQL, conversation_pairs
 from panelwright.sources.scratch import materialize
-from panelwright.sources.tables import scan
+from panelwright.sources.tables import scan, spread
 
 CUSTOMER_FEATURES = ["c_acctbal", "c_nationkey", "n_orders"]
 PART_FEATURES = ["p_size", "p_lot", "p_brand_no", "p_serial"]
@@ -56,7 +56,7 @@ def labelled_vectors(spark, sf):
 def labelled_documents(spark, sf):
     rows = scan(spark, sf, "documents").join(scan(spark, sf, "labels"), "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"), "quality")
-    return materialize(stratified_folds(rows, ["doc_id"], "quality", 2, 1), "documents")
+    return materialize(spread(stratified_folds(rows, ["doc_id"], "quality", 2, 1)), "documents")
 
 
 # --- panels ------------------------------------------------------------------------------

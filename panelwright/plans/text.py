@@ -6,7 +6,7 @@ from panelwright.functions import calendar as K, text as T
 from panelwright.operators.panel import dense_daily
 from panelwright.operators.scale import numbered_by_hash
 from panelwright.plans.registry import day_text, plan, rounded
-from panelwright.sources.tables import scan
+from panelwright.sources.tables import scan, spread
 
 SPACE, NON_SPACE, WORD = T.SPACE, T.NON_SPACE, T.WORD
 # A short stop list that both engines get.
@@ -59,7 +59,7 @@ def split_ends(spark, sf):
 SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '{SPACE}+'), lambda w: w <> '')) AS BIGINT) AS n_tokens,
        CAST(length(text) AS BIGINT) AS n_text_chars FROM documents""")
 def token_count(spark, sf):
-    return scan(spark, sf, "documents").select(
+    return spread(scan(spark, sf, "documents")).select(
         "doc_id", F.size(T.words(F.col("text"))).cast("bigint").alias("n_tokens"),
         F.char_length("text").cast("bigint").alias("n_text_chars"))
 
@@ -95,7 +95,7 @@ def regex_replace(spark, sf):
 SELECT doc_id, coalesce(regexp_matches(CASE WHEN doc_id % 6 <> 0 THEN text END, '(?i)tion|[eé]lle'), false) AS hit FROM documents""")
 def regex_contains(spark, sf):
     maybe = F.when(F.col("doc_id") % 6 != 0, F.col("text"))
-    return scan(spark, sf, "documents").select(
+    return spread(scan(spark, sf, "documents")).select(
         "doc_id", F.coalesce(F.rlike(maybe, F.lit("(?i)tion|[eé]lle")), F.lit(False)).alias("hit"))
 
 
@@ -108,7 +108,7 @@ SELECT 'doc' AS kind, doc_id AS id, 0::BIGINT AS part, md5({CLEAN_SQL}) AS clean
 FROM documents UNION ALL
 SELECT 'turn', conv_id, turn, md5({CLEAN_SQL}), CAST(length({CLEAN_SQL}) AS BIGINT) FROM conversations""")
 def clean(spark, sf):
-    docs = scan(spark, sf, "documents").select(
+    docs = spread(scan(spark, sf, "documents")).select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("part"), "text")
     turns = scan(spark, sf, "conversations").select(
         F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), F.col("turn").alias("part"), "text")
@@ -141,7 +141,7 @@ SELECT doc_id, CAST(len({TOKENS_SQL}) AS BIGINT) AS n_tokens, md5(array_to_strin
        CAST(len(regexp_extract_all(lower(text), '{WORD}+')) AS BIGINT) AS n_all FROM documents""")
 def stop_tokens(spark, sf):
     t = T.tokens(F.col("text"), 2, STOP)
-    return scan(spark, sf, "documents").select(
+    return spread(scan(spark, sf, "documents")).select(
         "doc_id", F.size(t).cast("bigint").alias("n_tokens"), F.md5(F.array_join(t, " ")).alias("tokens_md5"),
         F.size(T.tokens(F.col("text"), 1)).cast("bigint").alias("n_all"))
 
@@ -152,7 +152,7 @@ TERMS_SQL = f"""(SELECT doc_id, unnest(list_concat(t, list_transform(range(1, gr
 
 @plan("c12_ngrams", f"SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct FROM {TERMS_SQL} GROUP BY doc_id")
 def ngram_counts(spark, sf):
-    counts = T.term_counts(scan(spark, sf, "documents"), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
+    counts = T.term_counts(spread(scan(spark, sf, "documents")), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
     return counts.groupBy("doc_id").agg(F.sum("tf").alias("n_terms"), F.count(F.lit(1)).alias("n_distinct"))
 
 
@@ -162,7 +162,7 @@ v AS (SELECT term, sum(tf) AS ctf, count(*) AS df FROM c GROUP BY term ORDER BY
 r AS (SELECT doc_id, c.term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1) AS raw FROM c JOIN v USING (term))
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) + 0.0 AS weight FROM r""")
 def tfidf(spark, sf):
-    docs = scan(spark, sf, "documents")
+    docs = spread(scan(spark, sf, "documents"))
     counts = T.term_counts(docs, "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     return T.tfidf(counts, "doc_id", n, 2000).select("doc_id", "term", rounded("weight", 6).alias("weight"))
@@ -174,7 +174,7 @@ c AS (SELECT quality, word, count(*) AS n FROM w GROUP BY ALL)
 SELECT quality, word, n, CAST(row_number() OVER (PARTITION BY quality ORDER BY n DESC, word) AS INTEGER) AS rank FROM c
 QUALIFY rank <= 20""")
 def class_words(spark, sf):
-    docs = scan(spark, sf, "documents").join(scan(spark, sf, "labels"), "doc_id")
+    docs = spread(scan(spark, sf, "documents")).join(scan(spark, sf, "labels"), "doc_id")
     return T.top_words(docs, "quality", T.tokens(F.col("text"), 2, STOP), 20)
 
 
@@ -216,7 +216,7 @@ r AS (SELECT batch, pos, doc_id, tok, tok AS used, 0 AS pack FROM b WHERE pos =
       FROM r JOIN b ON b.batch = r.batch AND b.pos = r.pos + 1)
 SELECT CAST(batch AS BIGINT) AS batch, CAST(pack AS INTEGER) AS pack, CAST(pos AS BIGINT) AS pos, doc_id, CAST(tok AS BIGINT) AS tok FROM r""")
 def packing(spark, sf):
-    docs = scan(spark, sf, "documents").select(
+    docs = spread(scan(spark, sf, "documents")).select(
         "doc_id", F.least(F.size(F.regexp_extract_all("text", F.lit(WORD + "+"), F.lit(0))), F.lit(4096)).alias("tok"))
     rows = numbered_by_hash(docs, ["doc_id"], out="rn")
     p = F.col("rn") - 1

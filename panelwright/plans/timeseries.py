@@ -7,7 +7,11 @@ from panelwright.plans.panels import (DRIVER_SQL, KEYS, PANEL_SQL, PROMO_SQL, de
 from panelwright.plans.registry import day_text, plan, rounded
 from panelwright.sources.tables import scan
 
-DAY = day_text("day").alias("day")
+
+def iso_day():
+    return day_text("day").alias("day")
+
+
 DAY_SQL = "strftime(day, '%Y-%m-%d') AS day"
 FILL_SQL = "f AS (SELECT series, day, last_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY day) AS v FROM p)"
 GUARDED = "covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0)"
@@ -129,7 +133,7 @@ SELECT series, {DAY_SQL}, round(x - 0.5 * lag(x, 1) OVER w - 0.2 * lag(x, 2) OVE
 WINDOW w AS (PARTITION BY series ORDER BY day)""")
 def ar_filter(spark, sf):
     c = S.demean(filled_panel(spark, sf), KEYS, ["v"])
-    return S.ar_filter(c, KEYS, ["v"], [0.5, 0.2]).select("series", DAY, rounded("v").alias("filtered"))
+    return S.ar_filter(c, KEYS, ["v"], [0.5, 0.2]).select("series", iso_day(), rounded("v").alias("filtered"))
 
 
 def promo_panel(spark, sf):
@@ -179,7 +183,7 @@ SELECT series, {DAY_SQL}, round(coalesce(v, CASE WHEN opn THEN coalesce(md, ms)
 def gap_fill(spark, sf):
     late = F.col("day") >= F.lit("1995-02-01").cast("date")
     cut = dense_panel(spark, sf).withColumn("v", F.when(late, F.col("v")))
-    return P.fill_gaps(cut, KEYS, "v").select("series", DAY, rounded("v").alias("v"))
+    return P.fill_gaps(cut, KEYS, "v").select("series", iso_day(), rounded("v").alias("v"))
 
 
 @plan("m13_weekly_driver_features", f"""
@@ -194,7 +198,7 @@ SELECT strftime(od.day, '%Y-%m-%d') AS day, round(lr2, 6) + 0.0 AS oil_lr_wlag_2
 def weekly_driver(spark, sf):
     days = scan(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     out = P.weekly_driver_features(driver(spark, sf), "price", days, (2, 4))
-    return out.select(DAY, *[rounded(f"oil_lr_wlag_{k}", 6).alias(f"oil_lr_wlag_{k}") for k in (2, 4)],
+    return out.select(iso_day(), *[rounded(f"oil_lr_wlag_{k}", 6).alias(f"oil_lr_wlag_{k}") for k in (2, 4)],
                       *[rounded(f"oil_lvl_wlag_{k}").alias(f"oil_lvl_wlag_{k}") for k in (2, 4)])
 
 
@@ -266,4 +270,4 @@ def regional_table(spark, sf):
 
 @plan("m17_global_cycle", f"WITH {PANEL_SQL}, {FILL_SQL}, {CYCLE_SQL} SELECT {DAY_SQL}, round(cycle, 6) + 0.0 AS cycle FROM cy")
 def global_cycle(spark, sf):
-    return cycle(spark, sf).select(DAY, rounded("cycle", 6).alias("cycle"))
+    return cycle(spark, sf).select(iso_day(), rounded("cycle", 6).alias("cycle"))

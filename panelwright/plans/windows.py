@@ -11,7 +11,11 @@ from panelwright.plans.panels import KEYS, PANEL_SQL, PROMO_SQL, dense_panel, pr
 from panelwright.plans.registry import day_text, plan, rounded
 from panelwright.sources.tables import scan
 
-DAY = day_text("day").alias("day")
+
+def iso_day():
+    return day_text("day").alias("day")
+
+
 DAY_SQL = "strftime(day, '%Y-%m-%d') AS day"
 
 
@@ -27,7 +31,7 @@ FROM f WINDOW w AS (PARTITION BY series ORDER BY day)""")
 def flagship(spark, sf):
     filled = P.fill_gaps(dense_panel(spark, sf), KEYS, "v")
     lagged = filled.withColumns(P.lag_block("v", 7, KEYS))
-    return lagged.select("series", DAY, rounded("v").alias("v"),
+    return lagged.select("series", iso_day(), rounded("v").alias("v"),
                          *[rounded(f"y_lag_{k}").alias(f"y_lag_{k}") for k in range(1, 8)])
 
 
@@ -51,14 +55,14 @@ def group_median(spark, sf):
 @plan("f3_lags", f"""
 WITH {PANEL_SQL} SELECT series, {DAY_SQL}, {", ".join(f"round(lag(v, {k}) OVER (PARTITION BY series ORDER BY day), 2) + 0.0 AS y_lag_{k}" for k in (2, 3, 4))} FROM p""")
 def lags(spark, sf):
-    return dense_panel(spark, sf).select("series", DAY, *[
+    return dense_panel(spark, sf).select("series", iso_day(), *[
         rounded(c, 2).alias(n) for n, c in P.lag_block("v", 3, KEYS, lead_time=2).items()])
 
 
 @plan("f4_lead", f"""
 WITH {PANEL_SQL} SELECT series, {DAY_SQL}, round(lead(v, 2) OVER (PARTITION BY series ORDER BY day), 2) + 0.0 AS ahead FROM p""")
 def leads(spark, sf):
-    return dense_panel(spark, sf).select("series", DAY, rounded(P.lead("v", 2, KEYS), 2).alias("ahead"))
+    return dense_panel(spark, sf).select("series", iso_day(), rounded(P.lead("v", 2, KEYS), 2).alias("ahead"))
 
 
 @plan("f5_differences", f"""
@@ -67,7 +71,7 @@ WITH {PANEL_SQL} SELECT series, {DAY_SQL}, round(v - lag(v) OVER w, 2) + 0.0 AS
 FROM p WINDOW w AS (PARTITION BY series ORDER BY day)""")
 def differences(spark, sf):
     return dense_panel(spark, sf).select(
-        "series", DAY, rounded(P.difference(F.col("v"), KEYS), 2).alias("diff"),
+        "series", iso_day(), rounded(P.difference(F.col("v"), KEYS), 2).alias("diff"),
         rounded(P.log_return("v", KEYS), 6).alias("log_return"),
         rounded(P.log_return("v", KEYS, plus_one=True), 6).alias("log1p_return"))
 
@@ -75,7 +79,7 @@ def differences(spark, sf):
 @plan("f6_forward_fill", f"""
 WITH {PANEL_SQL} SELECT series, {DAY_SQL}, round(last_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY day), 2) + 0.0 AS filled FROM p""")
 def forward_fill(spark, sf):
-    return dense_panel(spark, sf).select("series", DAY, rounded(P.forward_fill("v", KEYS), 2).alias("filled"))
+    return dense_panel(spark, sf).select("series", iso_day(), rounded(P.forward_fill("v", KEYS), 2).alias("filled"))
 
 
 @plan("f7_open_window", f"""
@@ -85,7 +89,7 @@ SELECT series, {DAY_SQL}, count(v) OVER (PARTITION BY series ORDER BY day) > 0
 def open_window(spark, sf):
     inside = F.col("day").between(F.lit("1995-03-01").cast("date"), F.lit("2001-06-01").cast("date"))
     cut = dense_panel(spark, sf).withColumn("v", F.when(inside, F.col("v")))
-    return cut.select("series", DAY, P.open_window("v", KEYS).alias("is_open"))
+    return cut.select("series", iso_day(), P.open_window("v", KEYS).alias("is_open"))
 
 
 @plan("f8_centred_mean", f"""
@@ -93,7 +97,7 @@ WITH {PANEL_SQL} SELECT series, {DAY_SQL}, CASE WHEN count(v) OVER w >= 183 THEN
 FROM (SELECT series, day, CAST(round(v * 100) AS BIGINT) AS v FROM p) WINDOW w AS (PARTITION BY series ORDER BY day ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)""")
 def centred_mean(spark, sf):
     cents = dense_panel(spark, sf).withColumn("v", F.round(F.col("v") * 100).cast("bigint"))
-    return cents.select("series", DAY, rounded(P.centred_mean("v", KEYS), 5).alias("smooth"))
+    return cents.select("series", iso_day(), rounded(P.centred_mean("v", KEYS), 5).alias("smooth"))
 
 
 @plan("f9_forward_exposure", f"""
@@ -101,7 +105,7 @@ WITH {PANEL_SQL} SELECT series, {DAY_SQL},
   CAST(sum(n) OVER (PARTITION BY series ORDER BY day ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS BIGINT) AS n_0_2,
   CAST(sum(n) OVER (PARTITION BY series ORDER BY day ROWS BETWEEN 8 FOLLOWING AND 14 FOLLOWING) AS BIGINT) AS n_8_14 FROM p""")
 def forward_exposure(spark, sf):
-    return dense_panel(spark, sf).select("series", DAY, P.forward_sum("n", 0, 2, KEYS).alias("n_0_2"),
+    return dense_panel(spark, sf).select("series", iso_day(), P.forward_sum("n", 0, 2, KEYS).alias("n_0_2"),
                                          P.forward_sum("n", 8, 14, KEYS).alias("n_8_14"))
 
 
@@ -110,7 +114,7 @@ WITH {PANEL_SQL}, {PROMO_SQL}, q AS (SELECT series, day, coalesce(promo, 0.0) AS
 SELECT series, {DAY_SQL}, coalesce(b - lag(b) OVER (PARTITION BY series ORDER BY day) = 1, false) AS is_start FROM q""")
 def start_flag(spark, sf):
     panel = dense_panel(spark, sf).join(promotions(spark, sf), ["series", "day"], "left").na.fill(0.0, ["promo"])
-    return panel.select("series", DAY, P.start_flag("promo", KEYS).alias("is_start"))
+    return panel.select("series", iso_day(), P.start_flag("promo", KEYS).alias("is_start"))
 
 
 @plan("f11_ranked_dedup", """
@@ -129,8 +133,6 @@ def plain_dedup(spark, sf):
     return keep_one(docs, ["k"], [F.col("doc_id")], ["doc_id", "text_md5"]).drop("k")
 
 
-
-
 @plan("f13_best_lag", f"""
 WITH {PANEL_SQL}, k AS (SELECT unnest(range(1, 15)) AS k),
 j AS (SELECT a.series, k, a.v AS y, b.v AS x FROM p a, k JOIN p b ON b.series = a.series AND b.day = a.day - CAST(k AS INTEGER)
@@ -156,7 +158,7 @@ SELECT series, {DAY_SQL} FROM k WHERE day IS NOT NULL""")
 def minimum_gap(spark, sf):
     events = scan(spark, sf, "orders").where(F.col("o_totalprice") > 450000).select(
         F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("day"))
-    return P.thin_by_gap(events, KEYS, "day", 7).select("series", DAY)
+    return P.thin_by_gap(events, KEYS, "day", 7).select("series", iso_day())
 
 
 @plan("f15_average_rank", """

@@ -15,6 +15,12 @@ def scan(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | N
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table with fewer splits than cores before heavy per-row work; others pass through unshuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Turn NaN and infinities of floating columns into NULL."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}

@@ -163,8 +163,7 @@ def online_lags(events: DataFrame, key: str, time: str, order: str, value: str,
         seq = np.array([np.nan] * (lags - len(past)) + past + pdf[value].astype(float).tolist(), dtype=float)
         out = pd.DataFrame({key: group[0], order: pdf[order].to_numpy(), value: seq[lags:]})
         for k, n in enumerate(names, 1):
-            shifted = seq[lags - k:len(seq) - k]
-            out[n] = pd.Series([None if np.isnan(v) else v for v in shifted], dtype=object)
+            out[n] = seq[lags - k:len(seq) - k]
         state.update(([float(v) for v in seq[-lags:] if not np.isnan(v)],))
         yield out
 
