@@ -133,13 +133,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     group, as in pandas.
     """
     keys = list(keys)
-    long = df.select(
-        *keys,
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-        ])).alias("_cv"),
-    ).select(*keys, "_cv.column", "_cv.value")
-    ranked = value_counts_ranked(long, "value", [*keys, "column"])
+    if len(columns) == 1:
+        long = df.select(*keys, F.lit(0).alias("_col"), F.col(columns[0]).cast("double").alias("value"))
+    else:
+        long = df.select(*keys, F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_col", "value"))
+    ranked = value_counts_ranked(long, "value", [*keys, "_col"])
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
 
     def at(position: Column) -> Column:
@@ -150,9 +148,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         target = F.lit(float(p)) * (F.col("tot_n") - 1)
         aggs += [at(F.floor(target)).alias(f"_lo{i}"), at(F.ceil(target)).alias(f"_hi{i}"),
                  F.max(target - F.floor(target)).alias(f"_fr{i}")]
-    out = ranked.groupBy(*keys, "column").agg(*aggs)
+    out = ranked.groupBy(*keys, "_col").agg(*aggs)
     return out.select(
-        *keys, "column", "n_values",
+        *keys, F.get(F.array(*[F.lit(c) for c in columns]), F.col("_col")).alias("column"), "n_values",
         *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
           for i in range(len(probs))],
     )

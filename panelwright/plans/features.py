@@ -15,7 +15,7 @@ from panelwright.plans.registry import plan, rounded
 from panelwright.plans.reshape import NET_SQL, priced_lines, spearman_sql
 from panelwright.plans.splits import CUST, hash_sql
 from panelwright.sources.scratch import scratch_path
-from panelwright.sources.tables import scan
+from panelwright.sources.tables import scan, spread
 
 IMPUTED_SQL = f"""
 SELECT c_custkey, round(coalesce(acctbal, (SELECT quantile_cont(acctbal, 0.5) FROM {GAPPY})), 4) + 0.0 AS acctbal,
@@ -264,7 +264,7 @@ def voyagers(spark, sf):
     p, s, q, flag = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"), F.col("l_returnflag")
     side = F.when(F.col("l_linestatus") == "F", "P").otherwise("S")
     cabin = F.concat_ws("/", F.substring(F.lit("ABCDEFGT"), (s % 8 + 1).cast("int"), F.lit(1)), (p % 1900).cast("string"), side)
-    return scan(spark, sf, "lineitem").select(
+    return spread(scan(spark, sf, "lineitem")).select(
         F.concat_ws("_", F.col("l_orderkey").cast("string"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("PassengerId"),
         F.when(p % 11 != 0, flag).alias("HomePlanet"), F.when(s % 9 != 0, F.concat(F.lit("D"), (s % 3).cast("string"))).alias("Destination"),
         F.when(p % 10 != 0, F.col("l_linestatus") == "F").alias("CryoSleep"), F.when(p % 13 != 0, s % 20 == 0).alias("VIP"),
