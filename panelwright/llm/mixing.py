@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelwright.llm.ranges import range_of
 from panelwright.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,7 +21,6 @@ WEIGHTS = (5, 2, 1)  # of sources in code point order, repeating, null last
 SHARE = (3, 2)  # the mix holds this fraction of all words
 EPOCHS = 2  # a source gives at most this many times its words
 ROWS_A_RANGE = 4096
-_FIRST_RANGE = 16  # sources a range of the source order
 
 
 def word_count(text: Column) -> Column:
@@ -50,24 +50,6 @@ def source_rank(sizes: DataFrame) -> DataFrame:
         *sizes.columns, (F.col("_below") + F.col("_inside") - 1).cast("long").alias("rank"))
 
 
-def range_of(value: Column, edges: Sequence[int]) -> Column:
-    """How many of the sorted ``edges`` lie at or below ``value``, by binary search in an array literal."""
-    if not edges:
-        return F.lit(0)
-    table, at = F.lit(list(edges)), F.lit(0)
-    step = 1 << (len(edges).bit_length() - 1)
-    steps = []
-    while step:
-        steps.append(step)
-        step >>= 1
-
-    def advance(at: Column, step: Column) -> Column:
-        inside = at + step <= len(edges)
-        return F.when(inside & (F.element_at(table, F.least(at + step, F.lit(len(edges)))) <= value), at + step).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), at, advance)
-
-
 def with_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """Adds ``target`` to (source, source_size).
 
