@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import fingerprints, langid, licenses, line_dedup, mixing, packing, simhash, toxicity
+from panelwright.llm import chat, embedding_dedup, fingerprints, langid, licenses, line_dedup, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op4_embedding_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -61,6 +66,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedupe_lines(table(spark, sf_dir, "documents"))
 
 
+@query("op9_chat_format")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query("op10_mixing", mixing.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
