@@ -162,14 +162,24 @@ def _chi2_p(statistic: Column | str, dof: Column | str) -> Column:
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Independence test: statistic, degrees of freedom, p-value; Yates' correction for one degree of freedom."""
+    """Independence test: statistic, degrees of freedom, p-value; Yates' correction for one degree of freedom.
+
+    Only observed cells are read: an empty one adds its expected count. All four gaps of
+    a 2 x 2 table are equal, so its correction needs one gap and the sum of inverse
+    expected counts, n (sum 1 / row) (sum 1 / col).
+    """
     cells = contingency(df, a, b)
-    dof = (F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)
+    rows = cells.groupBy(a).agg(F.first("row_total").alias("t")).agg(F.count(F.lit(1)).alias("n_a"), F.sum(1 / F.col("t")).alias("inv_a"))
+    cols = cells.groupBy(b).agg(F.first("col_total").alias("t")).agg(F.count(F.lit(1)).alias("n_b"), F.sum(1 / F.col("t")).alias("inv_b"))
     gap = F.abs(F.col("observed") - F.col("expected"))
-    plain = F.sum(gap * gap / F.col("expected"))
-    fixed = gap - F.least(F.lit(0.5), gap)
-    stats = cells.agg(dof.alias("dof"), plain.alias("_plain"), F.sum(fixed * fixed / F.col("expected")).alias("_yates"), F.sum("observed").alias("n"))
-    out = stats.select(F.when(F.col("dof") == 1, F.col("_yates")).otherwise(F.col("_plain")).alias("chi2"), "dof", "n")
+    stats = cells.agg(F.sum(gap * gap / F.col("expected")).alias("_gaps"), F.sum("expected").alias("_seen"), F.max(gap).alias("_gap"), F.sum("observed").alias("n"))
+    one = stats.join(F.broadcast(rows)).join(F.broadcast(cols))  # three one-row frames
+    fixed = F.col("_gap") - F.least(F.lit(0.5), F.col("_gap"))
+    dof = (F.col("n_a") - 1) * (F.col("n_b") - 1)
+    # an empty cell's gap is its expected count, so all of them add what the observed cells leave of n
+    plain = F.col("_gaps") + F.col("n") - F.col("_seen")
+    yates = fixed * fixed * F.col("n") * F.col("inv_a") * F.col("inv_b")
+    out = one.select(F.when(dof == 1, yates).otherwise(plain).alias("chi2"), dof.alias("dof"), "n")
     return out.withColumn("p_value", _chi2_p("chi2", "dof"))
 
 

@@ -80,19 +80,24 @@ def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence) -> DataFrame:
     return df.groupBy(a).pivot(b, list(b_values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
-def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Observed and expected count of every cell, empty cells included."""
+def contingency(df: DataFrame, a: str, b: str, empty_up_to: int = 0) -> DataFrame:
+    """Observed and expected count of every observed cell; rows with a NULL level do not count.
+
+    With ``empty_up_to`` the empty cells are returned too, if the product of the
+    two numbers of levels is at most that; otherwise it raises.
+    """
     cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("observed"))
     rows = cells.groupBy(a).agg(F.sum("observed").alias("row_total"))
     cols = cells.groupBy(b).agg(F.sum("observed").alias("col_total"))
-    # the levels of a contingency table are its result size; a NULL-safe full grid needs every pair of levels
-    grid = rows.withColumn("_cols", F.lit(1)).join(
-        cols.agg(F.collect_list(F.struct(b, "col_total")).alias("_list"), F.sum("col_total").alias("total")))
-    full = grid.select(a, "row_total", "total", F.explode("_list").alias("_c")).select(
-        a, F.col(f"_c.{b}").alias(b), "row_total", F.col("_c.col_total").alias("col_total"), "total")
-    return full.join(cells, [a, b], "left").select(
-        a, b, F.coalesce("observed", F.lit(0)).alias("observed"), "row_total", "col_total", "total",
-        (F.col("row_total") * F.col("col_total") / F.col("total")).alias("expected"))
+    total = F.broadcast(cells.agg(F.sum("observed").alias("total")))  # one row
+    if empty_up_to:
+        n, m = rows.count(), cols.count()
+        if n * m > empty_up_to:
+            raise ValueError(f"{n} x {m} cells exceed {empty_up_to}")
+        levels = [r[b] for r in cols.select(b).collect()]  # fewer than empty_up_to
+        cells = rows.select(a, F.explode(F.array(*[F.lit(v) for v in levels])).alias(b)).join(cells, [a, b], "left").na.fill(0, ["observed"])
+    return cells.join(rows, a).join(cols, b).join(total).select(
+        a, b, "observed", "row_total", "col_total", "total", (F.col("row_total") * F.col("col_total") / F.col("total")).alias("expected"))
 
 
 def margins(df: DataFrame, a: str, b: str) -> DataFrame:

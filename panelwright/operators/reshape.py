@@ -37,15 +37,17 @@ def seeded_sample(df: DataFrame, id_cols: Sequence[str], n: int, seed: int = 0)
 def spearman_matrix(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
     """Upper-triangle Spearman correlations (i < j): average ranks, then one aggregation.
 
-    Only rows without NULL in any column count. Ranks come from value counts, so
-    no column is sorted in one task; a constant column gives NULL.
+    Only rows without NULL in any column count; ``id_cols`` name a row. Ranks come
+    from the value counts of one long table, so no column is sorted in one task and
+    the number of shuffles does not depend on the columns. A constant column gives
+    NULL.
     """
-    base = df.na.drop(subset=list(columns)).select(*id_cols, *columns)
-    ranked = base
-    for c in columns:
-        ranked = average_ranks(ranked, c, f"_rank_{c}", spread_by=list(id_cols), source=base)
+    base = df.na.drop(subset=list(columns)).select(F.struct(*id_cols).alias("_id"), F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_col", "_value"))
+    ranks = average_ranks(base, "_value", "_rank", keys=["_col"], spread_by=["_id"])
+    # one row per former row again
+    ranked = ranks.groupBy("_id").agg(*[F.max(F.when(F.col("_col") == i, F.col("_rank"))).alias(f"_rank_{i}") for i in range(len(columns))])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    ranks = [f"_rank_{c}" for c in columns]
+    ranks = [f"_rank_{i}" for i in range(len(columns))]
     stats = ranked.agg(
         *[F.covar_pop(ranks[i], ranks[j]).alias(f"c{i}_{j}") for i, j in pairs],
         *[F.stddev_pop(r).alias(f"s{i}") for i, r in enumerate(ranks)])

@@ -31,8 +31,8 @@ o AS (SELECT strftime(ws.w, '%Y-%m-%d') AS window_start, n, l_infinity, js AS js
 
 
 def _windows(spark, sf):
-    stream = baseline(spark, sf).monitor(event_stream(spark, sf), "ts", "1 day", "1 hour")
-    return S.run_available(stream, "drift")
+    base = baseline(spark, sf)
+    return base.distances(S.run_available(base.counts(event_stream(spark, sf), "ts", "1 day", "1 hour"), "drift"))
 
 
 @plan("o1_windowed_drift", DRIFT_SQL + """
@@ -60,8 +60,7 @@ def late_labels(spark, sf):
 SELECT window_start, 'l_infinity' AS metric, round(l_infinity, 6) + 0.0 AS value FROM o WHERE l_infinity > 0.02
 UNION ALL SELECT window_start, 'js_divergence', round(js_divergence, 6) + 0.0 FROM o WHERE js_divergence > 0.01""")
 def threshold_alerts(spark, sf):
-    stream = baseline(spark, sf).monitor(event_stream(spark, sf), "ts", "1 day", "1 hour")
-    fired = S.run_available(S.alerts(stream, {"l_infinity": 0.02, "js_divergence": 0.01}), "alerts")
+    fired = S.alerts(_windows(spark, sf), {"l_infinity": 0.02, "js_divergence": 0.01})
     return fired.select(S.utc_text("window_start").alias("window_start"), "metric", rounded("value", 6).alias("value"))
 
 
@@ -70,4 +69,5 @@ SELECT user_id, event_id, value, lag(value, 1) OVER w AS value_lag_1, lag(value,
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def online_lags(spark, sf):
     stream = event_stream(spark, sf, max_bytes=256 << 20).select("user_id", "event_id", "ts", "value")
-    return S.run_available(S.online_lags(stream, "user_id", "ts", "event_id", "value", 3, "1 hour"), "lags")
+    late = S.source_lateness(scan(spark, sf, "events").withColumn("ts", S.event_time("ts")), "ts")
+    return S.run_online_lags(stream, "user_id", "ts", "event_id", "value", 3, f"{late + 1} seconds")
