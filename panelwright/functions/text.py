@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from panelwright.operators.scale import join_lookup, running_totals
+
 # Unicode white space, and a word character (letter, digit or underscore).
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 NON_SPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
@@ -84,25 +86,24 @@ def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: in
     ).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame, cap: int) -> DataFrame:
-    """The ``cap`` most frequent terms of the corpus (ties by term) with document frequency ``df``."""
-    return counts.groupBy("term").agg(
-        F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df")
-    ).orderBy(F.col("corpus_tf").desc(), "term").limit(cap)
+def vocabulary(counts: DataFrame, cap: int | None = None) -> DataFrame:
+    """All terms of the corpus with document frequency ``df``, or the ``cap`` most frequent (ties by term)."""
+    terms = counts.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
+    return terms if cap is None else terms.orderBy(F.col("corpus_tf").desc(), "term").limit(cap)
 
 
-def tfidf(counts: DataFrame, id_col: str, n_docs: DataFrame, cap: int) -> DataFrame:
-    """L2-normalised TF-IDF weights with smoothed idf; the vocabulary holds at most ``cap`` terms.
+def tfidf(counts: DataFrame, id_col: str, n_docs: DataFrame, cap: int | None = None) -> DataFrame:
+    """L2-normalised TF-IDF weights with smoothed idf over all terms, or over the ``cap`` most frequent.
 
-    ``n_docs`` is a one-row frame with ``n_docs``. The vocabulary's size is
-    bounded by the cap, so it may be broadcast.
+    ``n_docs`` is a one-row frame with ``n_docs``. Terms meet their idf in a
+    salted join; the norm is taken over the terms of one document.
     """
     idf = vocabulary(counts, cap).join(F.broadcast(n_docs)).select(
-        "term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").select(
+        "term", "df", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    raw = join_lookup(counts, idf, ["term"], "df", [id_col], "inner").select(
         id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, id_col).select(id_col, "term", F.try_divide("raw", "norm").alias("weight"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
+    return raw.select(id_col, "term", F.try_divide("raw", norm).alias("weight"))
 
 
 def top_words(df: DataFrame, label: str, terms: Column, k: int) -> DataFrame:
@@ -114,9 +115,20 @@ def top_words(df: DataFrame, label: str, terms: Column, k: int) -> DataFrame:
 
 
 def ids_of(vocab: DataFrame) -> DataFrame:
-    """Dense ids for a capped vocabulary, most frequent first, after the special tokens."""
-    order = Window.orderBy(F.col("corpus_tf").desc(), "term")
-    return vocab.select("term", (F.row_number().over(order) + (FIRST_FREE - 1)).alias("token_id"))
+    """Dense ids for all terms of a vocabulary, most frequent first (ties by term), after the special tokens.
+
+    Terms of one frequency are cut by their leading characters, so no task
+    numbers all of them: sums of the cuts give each its offset.
+    """
+    cut = vocab.select("term", "corpus_tf", F.substring("term", 1, 3).alias("_lead"))
+    sizes = cut.groupBy("corpus_tf", "_lead").agg(F.count(F.lit(1)).alias("_n"))
+    above = running_totals(sizes.groupBy("corpus_tf").agg(F.sum("_n").alias("_all")), "corpus_tf", ["_all"]).select(
+        "corpus_tf", (F.col("tot__all") - F.col("cum__all")).alias("_above"))
+    before = Window.partitionBy("corpus_tf").orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("corpus_tf", "_lead", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).join(above, "corpus_tf")
+    inside = F.row_number().over(Window.partitionBy("corpus_tf", "_lead").orderBy("term"))
+    return cut.withColumn("_no", inside).join(offsets, ["corpus_tf", "_lead"]).select(
+        "term", "corpus_tf", (F.col("_above") + F.col("_before") + F.col("_no") + (FIRST_FREE - 1)).cast("long").alias("token_id"))
 
 
 def encode_pairs(df: DataFrame, id_cols: Sequence[str], first: Column, second: Column, vocab: DataFrame,
@@ -124,27 +136,28 @@ def encode_pairs(df: DataFrame, id_cols: Sequence[str], first: Column, second: C
     """Fixed-length ids, attention mask and segment ids of token pairs.
 
     ``first`` and ``second`` are token arrays; the longer one is truncated first.
-    ``vocab`` is a frame of (term, token_id) whose size is capped by its maker.
+    ``vocab`` is a frame of (term, corpus_tf, token_id) of any size. The pairs are
+    exploded once, and the ids are collected with the lengths.
     """
     ids = list(id_cols)
     room = max_len - 3
     base = df.select(*ids, first.alias("_a"), second.alias("_b"))
     keep_a = F.least(F.size("_a"), F.greatest(room - F.size("_b"), F.lit((room + 1) // 2)))
     base = base.withColumn("_na", keep_a).withColumn("_nb", F.least(F.size("_b"), F.lit(room) - F.col("_na")))
-    both = base.withColumn("_t", F.concat(F.slice("_a", F.lit(1), F.col("_na")), F.slice("_b", F.lit(1), F.col("_nb"))))
-    flat = both.select(*ids, F.posexplode("_t").alias("_pos", "term"))
-    coded = flat.join(F.broadcast(vocab), "term", "left").groupBy(*ids).agg(
+    both = F.concat(F.slice("_a", F.lit(1), F.col("_na")), F.slice("_b", F.lit(1), F.col("_nb")))
+    # a pair without tokens keeps its row, with a term that no vocabulary has
+    flat = base.select(*ids, "_na", "_nb", F.posexplode_outer(both).alias("_pos", "term"))
+    coded = join_lookup(flat, vocab.where(F.col("term").isNotNull()), ["term"], "corpus_tf", [*ids, "_pos"]).groupBy(*ids).agg(
+        F.first("_na").alias("_na"), F.first("_nb").alias("_nb"),
         F.transform(
-            F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN)).alias("t")))),
+            F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce(F.col("token_id").cast("int"), F.lit(UNKNOWN)).alias("t"))))),
             lambda s: s["t"]).alias("_ids"))
-    out = both.select(*ids, "_na", "_nb").join(coded, ids, "left").withColumn(
-        "_ids", F.coalesce("_ids", F.array().cast("array<int>")))
     one = F.array(F.lit(SEPARATOR))
     seq = F.concat(F.array(F.lit(START)), F.slice("_ids", F.lit(1), F.col("_na")), one,
                    F.slice("_ids", F.col("_na") + 1, F.col("_nb")), one)
     used, head = F.col("_na") + F.col("_nb") + 3, F.col("_na") + 2
     pad = F.lit(max_len) - used
-    return out.select(
+    return coded.select(
         *ids,
         F.concat(seq, F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), used), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),

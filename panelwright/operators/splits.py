@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelwright.operators.scale import hash_key, hash_number, numbered_by_hash
+from panelwright.operators.scale import hash_key, hash_number, join_lookup, numbered_by_hash
 
-# Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ...
-POISSON_ONE = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
-               0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.9999988747974020, 0.9999998885745217)
+# Bits of the digest that make a uniform number.
+BITS = 52
+
+
+def _poisson_one(limit: float = 2.0**-BITS) -> tuple[float, ...]:
+    """Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ... up to the resolution of the hash."""
+    term, out = math.exp(-1.0), []
+    total, k = term, 0
+    while 1.0 - total > limit:
+        out.append(total)
+        k += 1
+        term /= k
+        total += term
+    return tuple(out)
+
+
+POISSON_ONE = _poisson_one()
 
 
 def uniform(*id_cols: str, seed: int | str = 0) -> Column:
-    """A number in [0, 1) that only depends on the seed and the key."""
-    return hash_number(hash_key(*id_cols, seed=seed)) / F.lit(2.0**32)
+    """A number in [0, 1) that only depends on the seed and the key: 52 bits of the digest."""
+    return F.conv(F.substring(hash_key(*id_cols, seed=seed), 1, BITS // 4), 16, 10).cast("long") / F.lit(2.0**BITS)
 
 
 def holdout(id_cols: Sequence[str], share: float, seed: int = 0) -> Column:
@@ -42,6 +57,21 @@ def group_fold(group_cols: Sequence[str], k: int, seed: int = 0) -> Column:
     return (hash_number(hash_key(*group_cols, seed=seed)) % k).cast("int")
 
 
+def stratified_group_folds(df: DataFrame, group_cols: Sequence[str], label: str, k: int, seed: int = 0, out: str = "fold") -> DataFrame:
+    """Whole groups dealt to ``k`` folds so that size and label rate stay near equal.
+
+    Groups are put into strata by their size and number of positive labels; each
+    stratum is dealt in hash order, starting at a fold of its own. The group
+    table has one row a group and joins back by the group's key.
+    """
+    groups = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_pos"))
+    strata = groups.withColumn("_size", F.least(F.col("_n"), F.floor(F.log2("_n") * 4) + 16)).withColumn("_share", F.coalesce(F.round(F.col("_pos") / F.col("_n") * 20), F.lit(-1)))
+    numbered = numbered_by_hash(strata, list(group_cols), ["_size", "_share"], seed, "_no")
+    shift = hash_number(hash_key("_size", "_share", seed=seed))
+    folds = numbered.withColumn(out, ((F.col("_no") - 1 + shift) % k).cast("int")).select(*group_cols, "_n", out)
+    return join_lookup(df, folds, group_cols, "_n").drop("_n")
+
+
 def fold_balance(df: DataFrame, fold: str, label: str) -> DataFrame:
     """Rows and label rate per fold."""
     return df.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("label_rate"))

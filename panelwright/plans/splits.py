@@ -13,7 +13,7 @@ def hash_sql(key, seed):
 
 
 def uniform_sql(key, seed):
-    return f"({hash_sql(key, seed)} / 4294967296.0)"
+    return f"(CAST(concat('0x', substr(md5(concat_ws(':', '{seed}', {key})), 1, 13)) AS BIGINT) / 4503599627370496.0)"
 
 
 CUST = "CAST(c_custkey AS VARCHAR)"
@@ -49,6 +49,18 @@ def group_folds(spark, sf):
     return S.fold_balance(df, "fold", "y").withColumn("label_rate", rounded("label_rate", 6))
 
 
+@plan("k4_stratified_group_folds", """
+WITH g AS (SELECT l_orderkey, count(*) AS n, sum(CAST(l_returnflag = 'R' AS BIGINT)) AS pos FROM lineitem GROUP BY l_orderkey),
+s AS (SELECT *, CAST(least(n, floor(log2(n) * 4) + 16) AS BIGINT) AS sz, CAST(round(pos / n * 20) AS DOUBLE) AS sh FROM g),
+f AS (SELECT *, (row_number() OVER (PARTITION BY sz, sh ORDER BY md5(concat_ws(':', '42', CAST(l_orderkey AS VARCHAR))), l_orderkey) - 1
+      + CAST(concat('0x', substr(md5(concat_ws(':', '42', CAST(sz AS VARCHAR), CAST(sh AS VARCHAR))), 1, 8)) AS BIGINT)) % 5 AS fold FROM s)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(n) AS BIGINT) AS n, round(sum(pos) / sum(n), 6) + 0.0 AS label_rate, count(*) AS n_groups FROM f GROUP BY fold""")
+def balanced_group_folds(spark, sf):
+    df = scan(spark, sf, "lineitem").select("l_orderkey", (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    folds = S.stratified_group_folds(df, ["l_orderkey"], "y", 5, 42)
+    return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("y"), 6).alias("label_rate"), F.count_distinct("l_orderkey").alias("n_groups"))
+
+
 @plan("k5_time_split", """
 SELECT CASE WHEN CAST(o_orderdate AS DATE) < DATE '2000-01-01' THEN 'train' ELSE 'valid' END AS part, count(*) AS n,
        round(sum(o_totalprice), 2) + 0.0 AS total FROM orders GROUP BY part""")

@@ -158,14 +158,14 @@ def ngram_counts(spark, sf):
 
 @plan("c13_tfidf", f"""
 WITH c AS (SELECT doc_id, term, count(*) AS tf FROM {TERMS_SQL} GROUP BY ALL),
-v AS (SELECT term, sum(tf) AS ctf, count(*) AS df FROM c GROUP BY term ORDER BY ctf DESC, term LIMIT 2000),
+v AS (SELECT term, count(*) AS df FROM c GROUP BY term),
 r AS (SELECT doc_id, c.term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1) AS raw FROM c JOIN v USING (term))
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) + 0.0 AS weight FROM r""")
 def tfidf(spark, sf):
-    docs = spread(scan(spark, sf, "documents"))
-    counts = T.term_counts(docs, "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    return T.tfidf(counts, "doc_id", n, 2000).select("doc_id", "term", rounded("weight", 6).alias("weight"))
+    docs = scan(spark, sf, "documents")
+    counts = T.term_counts(spread(docs), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2)
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))  # from the file footers
+    return T.tfidf(counts, "doc_id", n).select("doc_id", "term", rounded("weight", 6).alias("weight"))
 
 
 @plan("c14_words_per_class", f"""
@@ -182,8 +182,7 @@ def class_words(spark, sf):
 WITH p AS (SELECT conv_id, turn, regexp_extract_all(lower(premise), '{WORD}+') AS a,
                   regexp_extract_all(lower(hypothesis), '{WORD}+') AS b FROM {PAIRS_SQL}),
 v AS (SELECT term, 3 + row_number() OVER (ORDER BY n DESC, term) AS id FROM
-      (SELECT term, count(*) AS n FROM (SELECT unnest(list_concat(a, b)) AS term FROM p) GROUP BY term
-       ORDER BY n DESC, term LIMIT 500)),
+      (SELECT term, count(*) AS n FROM (SELECT unnest(list_concat(a, b)) AS term FROM p) GROUP BY term)),
 k AS (SELECT *, least(len(a), greatest(61 - len(b), 31)) AS na FROM p),
 k2 AS (SELECT *, least(len(b), 61 - na) AS nb FROM k),
 f AS (SELECT conv_id, turn, na, nb, unnest(list_concat(a[1:na], b[1:nb])) AS term, unnest(range(1, na + nb + 1)) AS pos FROM k2),
@@ -198,7 +197,7 @@ def encoded_pairs(spark, sf):
     pairs = conversation_pairs(spark, sf)
     a, b = T.tokens(F.col("premise"), 1), T.tokens(F.col("hypothesis"), 1)
     counts = T.term_counts(pairs.withColumn("_id", F.concat_ws(":", "conv_id", "turn")), "_id", F.concat(a, b))
-    vocab = T.ids_of(T.vocabulary(counts, 500))
+    vocab = T.ids_of(T.vocabulary(counts))
     out = T.encode_pairs(pairs, ["conv_id", "turn"], a, b, vocab, 64)
     return out.select("conv_id", "turn", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
                                            for c in ("input_ids", "attention_mask", "segment_ids")])
@@ -206,7 +205,7 @@ def encoded_pairs(spark, sf):
 
 @plan("c16_token_budget_packing", f"""
 WITH RECURSIVE t AS (
-  SELECT doc_id, least(len(regexp_extract_all(text, '{WORD}+')), 4096) AS tok,
+  SELECT doc_id, len(regexp_extract_all(text, '{WORD}+')) AS tok,
          row_number() OVER (ORDER BY md5(concat_ws(':', '0', CAST(doc_id AS VARCHAR))), doc_id) - 1 AS p FROM documents),
 b AS (SELECT doc_id, tok, p // 80 AS batch, p % 80 AS pos FROM t),
 r AS (SELECT batch, pos, doc_id, tok, tok AS used, 0 AS pack FROM b WHERE pos = 0
@@ -217,7 +216,7 @@ r AS (SELECT batch, pos, doc_id, tok, tok AS used, 0 AS pack FROM b WHERE pos =
 SELECT CAST(batch AS BIGINT) AS batch, CAST(pack AS INTEGER) AS pack, CAST(pos AS BIGINT) AS pos, doc_id, CAST(tok AS BIGINT) AS tok FROM r""")
 def packing(spark, sf):
     docs = spread(scan(spark, sf, "documents")).select(
-        "doc_id", F.least(F.size(F.regexp_extract_all("text", F.lit(WORD + "+"), F.lit(0))), F.lit(4096)).alias("tok"))
+        "doc_id", F.size(F.regexp_extract_all("text", F.lit(WORD + "+"), F.lit(0))).alias("tok"))
     rows = numbered_by_hash(docs, ["doc_id"], out="rn")
     p = F.col("rn") - 1
     placed = rows.select("doc_id", "tok", F.floor(p / 80).alias("batch"), (p % 80).alias("pos"))

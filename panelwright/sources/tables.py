@@ -15,10 +15,15 @@ def scan(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | N
     return df.select(*columns) if columns else df
 
 
+# A session that works on few large files of one row group (a laptop, a bench) may set this to deal their rows to all cores.
+SPREAD_SCANS = "spark.panelwright.spreadScans"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table with fewer splits than cores before heavy per-row work; others pass through unshuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The table as it is, or dealt to all cores where the session asks for it."""
+    spark = df.sparkSession
+    asked = spark.conf.get(SPREAD_SCANS, "false").lower() == "true"
+    return df.repartition(spark.sparkContext.defaultParallelism) if asked else df
 
 
 def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
