@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # holds at most rows / HOT_ROWS entries, which bounds what is broadcast.
 HOT_ROWS = 2_000_000
 FAN = 64
-# Number of value ranges that an ordered computation is cut into.
-RANGES = 64
+# A key with more distinct values than this is cut into value ranges of its own.
+HOT_VALUES = 65_536
 
 
 def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], count_col: str,
@@ -62,22 +62,53 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str
     return join_lookup(df, stats, keys, "_n", spread_by, hot_rows=hot_rows).drop("_n")
 
 
+def _range_probs(df: DataFrame, ranges: int | None = None) -> list[float]:
+    """Inner quantiles of as many ranges as the session shuffles into."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if ranges is None else ranges
+    return [i / n for i in range(1, n)] or [0.5]
+
+
 def value_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
-    """Up to ``ranges - 1`` split points of a numeric column, from a mergeable sketch.
+    """Split points of a numeric column for about equal ranges, from a mergeable sketch.
 
     They only balance work: any split points give the same final result.
     """
-    ranges = RANGES if ranges is None else ranges
-    probs = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10 * ranges).alias("e")).first()
+    probs = _range_probs(df, ranges)
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10 * len(probs) + 10).alias("e")).first()
     return sorted(set(row["e"] or []))
 
 
+def edges_below(value: Column, edges: Column) -> Column:
+    """How many of the sorted array ``edges`` lie below ``value``, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
+
+    def advance(at: Column, step: Column) -> Column:
+        return F.when((at + step <= F.size(edges)) & (F.try_element_at(edges, at + step) < value), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), advance)
+
+
+def _with_range(freq: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_range``: keys with more than HOT_VALUES rows are cut by split points of their own, others stay whole.
+
+    The split points of hot keys are broadcast, at most rows / HOT_VALUES arrays.
+    """
+    x, probs = F.col(value).cast("double"), _range_probs(freq)
+    hot = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(x, probs, 10 * len(probs) + 10).alias("_edges"))
+    hot = hot.where(F.col("_n") > HOT_VALUES).drop("_n")
+    cut = freq.join(F.broadcast(hot), list(keys), "left")
+    return cut.withColumn("_range", F.when(F.col("_edges").isNull(), 0).otherwise(edges_below(x, F.col("_edges")))).drop("_edges")
+
+
 def range_index(value: Column, edges: Sequence[float]) -> Column:
     """Position of the range that holds ``value``: the number of edges below it.
 
-    A balanced tree of comparisons, so that it stays inside generated code.
+    A balanced tree of comparisons, so that it stays inside generated code; many
+    edges are searched in a constant array instead.
     """
+    if len(edges) > 64:
+        return edges_below(value.cast("double"), F.split(F.lit(",".join(repr(float(e)) for e in edges)), ",").cast("array<double>"))
+
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
@@ -96,8 +127,10 @@ def running_totals(freq: DataFrame, value: str, measures: Sequence[str], keys: S
     ranges below it, so no task sees more than about one range of the data.
     """
     keys = list(keys)
-    edges = value_edges(freq, value) if edges is None else edges
-    cut = freq.withColumn("_range", range_index(F.col(value), edges))
+    if keys and edges is None:
+        cut = _with_range(freq, value, keys)
+    else:
+        cut = freq.withColumn("_range", range_index(F.col(value), value_edges(freq, value) if edges is None else edges))
     part = keys or [F.lit(0)]
     below = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*part)
@@ -120,7 +153,7 @@ def value_counts_ranked(df: DataFrame, value: str, keys: Sequence[str] = ()) ->
     """Distinct values with count ``n`` and inclusive rank ``cum_n`` of ``tot_n``."""
     present = df.where(F.col(value).isNotNull())
     freq = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    return running_totals(freq, value, ["n"], keys, value_edges(present, value))
+    return running_totals(freq, value, ["n"], keys, None if keys else value_edges(present, value))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

@@ -80,3 +80,21 @@ def test_hash_numbering_equals_a_plain_window_and_keeps_null_keys(rows):
     w = Window.partitionBy("k").orderBy(scale.hash_key("id", seed=3), "id")
     want = {r["id"]: r["no"] for r in df.withColumn("no", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_hot_keys_are_cut_by_their_own_edges(spark, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_VALUES", 50)
+    rows = [("hot", i * 0.001) for i in range(3000)] + [("far", 1e6 + i) for i in range(100)] + [(f"k{i % 40}", float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    cut = scale._with_range(df, "v", ["k"]).groupBy("k").agg(F.count_distinct("_range").alias("n")).collect()
+    n = {r["k"]: r["n"] for r in cut}
+    assert n["hot"] >= 4 and n["far"] >= 4 and n["k1"] == 1
+    got = {r["k"]: r["q0"] for r in scale.exact_quantiles(df, ["v"], [0.5], ["k"]).collect()}
+    assert abs(got["hot"] - 1.4995) < 1e-9 and abs(got["far"] - (1e6 + 49.5)) < 1e-9
+
+
+def test_many_edges_give_the_same_ranges(spark):
+    edges = [i / 7 for i in range(300)]
+    df = spark.createDataFrame([(i / 3,) for i in range(-3, 200)], "v double")
+    want = [sum(e < r["v"] for e in edges) for r in df.collect()]
+    assert [r[0] for r in df.select(scale.range_index(F.col("v"), edges)).collect()] == want
