@@ -120,15 +120,25 @@ def power_likelihoods(df: DataFrame, value: str, grid: Sequence[float], family:
 
 def fit_power(df: DataFrame, value: str, family: str = "box-cox", low: float = -2.0, high: float = 2.0,
               steps: int = 17, rounds: int = 3) -> float:
-    """Maximum-likelihood lambda by ``rounds`` successively finer grids (one aggregation each)."""
-    best = 0.0
-    for _ in range(rounds):
+    """Maximum-likelihood lambda by ``rounds`` successively finer grids (one aggregation each).
+
+    While the best lambda of a grid sits on its border, the grid moves on in that
+    direction; it stops where no further lambda has a finite likelihood.
+    """
+    best, done = 0.0, 0
+    while done < rounds:
         width = (high - low) / (steps - 1)
         grid = [low + i * width for i in range(steps)]
         row = (power_likelihoods(df, value, grid, family)
                .orderBy(F.col("log_likelihood").desc_nulls_last(), "lambda").first())
-        best = row["lambda"]
-        low, high = best - width, best + width
+        if row["log_likelihood"] is None:
+            break
+        last, best = best, row["lambda"]
+        if best in (grid[0], grid[-1]) and abs(best) < 64 and best != last:
+            low, high = best - (high - low) / 2, best + (high - low) / 2
+        else:
+            done += 1
+            low, high = best - width, best + width
     return best
 
 

@@ -12,75 +12,76 @@ from panelwright.features.base import FitError
 from panelwright.operators.metrics import rmse, rmsle
 from panelwright.sources.scratch import materialize
 
-# Driver-side design limit: days x regressors are reduced to p x p sums, p stays below this.
-MAX_REGRESSORS = 2_000
-
-
 class ManyTargetRidge:
     """Closed-form ridge with intercept for every series of a dense panel.
 
-    The design table has one row per day. Its p x p Gram matrix is one aggregation
-    over the calendar, and X'Y is one map-side combined aggregation over the
-    panel; rows never reach the driver. ``scaled`` columns are standardised, NULLs
-    in them take the training median; the penalty leaves the intercept free.
-    One fit serves a whole grid of penalties.
+    The design table has one row per day and is collected: days x regressors
+    numbers, bounded by the calendar. The panel is not: each series is reduced to
+    its values in day order, and coefficients are one matrix product per Arrow
+    batch. With more regressors than days the system is solved in its dual form
+    (days x days). ``scaled`` columns are standardised, NULLs in them take the
+    training median; the penalty leaves the intercept free. One fit serves a
+    whole grid of penalties.
     """
 
     def __init__(self, keys: Sequence[str], value: str, columns: Sequence[str], scaled: Sequence[str] | None = None,
                  day: str = "day"):
-        if len(columns) > MAX_REGRESSORS:
-            raise FitError(f"more than {MAX_REGRESSORS} regressors")
         self.keys, self.value, self.columns, self.day = list(keys), value, list(columns), day
         self.scaled = set(columns if scaled is None else scaled)
         self.alpha: float | None = None
 
-    def _x(self, design: DataFrame) -> DataFrame:
-        """Day and the array of centred, scaled regressors."""
-        cols = [(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(self.median[i])) - F.lit(self.mean[i])) / F.lit(self.scale[i])
-                for i, c in enumerate(self.columns)]
-        return design.select(self.day, F.array(*cols).alias("_x"))
+    def _raw(self, design: DataFrame) -> tuple[list, np.ndarray]:
+        """Days in order and their regressors, NaN for NULL."""
+        rows = design.select(self.day, F.array(*[F.col(f"`{c}`").cast("double") for c in self.columns]).alias("_x")).orderBy(self.day).collect()
+        return [r[self.day] for r in rows], np.array([r["_x"] for r in rows], dtype=float).reshape(len(rows), len(self.columns))
+
+    def _x(self, design: DataFrame) -> tuple[list, np.ndarray]:
+        """Days in order and their centred, scaled regressors."""
+        days, x = self._raw(design)
+        return days, (np.where(np.isnan(x), self.median, x) - self.mean) / self.scale
 
     def fit(self, panel: DataFrame, design: DataFrame) -> "ManyTargetRidge":
         """``design`` holds the training days; every series must have a value on each of them."""
-        p = len(self.columns)
-        quoted = [F.col(f"`{c}`").cast("double") for c in self.columns]
-        # the design has one row per day, so the built-in percentile sees the calendar only
-        med = design.agg(*[F.percentile(c, 0.5).alias(f"m{i}") for i, c in enumerate(quoted)]).first()
-        self.median = [0.0 if med[f"m{i}"] is None else med[f"m{i}"] for i in range(p)]
-        full = [F.coalesce(c, F.lit(self.median[i])) for i, c in enumerate(quoted)]
-        row = design.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"a{i}") for i, c in enumerate(full)],
-                         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(full)]).first()
-        self.n_days, self.mean = row["n"], [row[f"a{i}"] for i in range(p)]
-        self.scale = [(row[f"s{i}"] or 1.0) if c in self.scaled else 1.0 for i, c in enumerate(self.columns)]
-        x = self._x(design)
-        self.gram = np.asarray(x.agg(*[
-            F.array(*[F.sum(F.get("_x", F.lit(i)) * F.get("_x", F.lit(j))) for j in range(p)]).alias(f"r{i}") for i in range(p)
-        ]).first(), dtype=float)
-        joined = panel.select(*self.keys, self.day, self.value).join(F.broadcast(x), self.day)  # one row per calendar day
-        v = F.col(self.value)
-        self.moments = materialize(joined.groupBy(*self.keys).agg(
-            F.array(*[F.sum(F.get("_x", F.lit(i)) * v) for i in range(p)]).alias("_xty"),
-            F.avg(v).alias("_mean"), F.count(v).alias("_n")), "ridge-moments")
-        if not self.moments.where(F.col("_n") != self.n_days).isEmpty():
+        days, raw = self._raw(design)
+        known = ~np.isnan(raw).all(0)
+        self.median = np.zeros(raw.shape[1])
+        self.median[known] = np.nanmedian(raw[:, known], axis=0)
+        full = np.where(np.isnan(raw), self.median, raw)
+        self.n_days, self.mean, spread = len(days), full.mean(0), full.std(0)
+        chosen = np.array([c in self.scaled for c in self.columns], bool)
+        self.scale = np.where(chosen & (spread > 0), spread, 1.0)
+        self.x = (full - self.mean) / self.scale
+        numbers = panel.sparkSession.createDataFrame([(d, i) for i, d in enumerate(days)], f"`{self.day}` {design.select(self.day).schema[0].dataType.simpleString()}, _no int")
+        joined = panel.select(*self.keys, self.day, self.value).join(F.broadcast(numbers), self.day)  # one row per calendar day
+        # a series' values, bounded by the calendar
+        listed = F.array_sort(F.collect_list(F.when(F.col(self.value).isNotNull(), F.struct("_no", F.col(self.value).cast("double").alias("v")))))
+        self.values = materialize(joined.groupBy(*self.keys).agg(listed.alias("_y"), F.avg(self.value).alias("_mean")).withColumn("_y", F.col("_y.v")), "ridge-values")
+        if not self.values.where(F.size("_y") != self.n_days).isEmpty():
             raise FitError("every series needs a value on every training day; fill the panel first")
         return self
 
+    def _solver(self, alpha: float) -> np.ndarray:
+        """The matrix (days x regressors) that turns a series' values into its coefficients."""
+        n, p = self.x.shape
+        if p > n:
+            return np.linalg.pinv(self.x @ self.x.T + alpha * np.eye(n), hermitian=True) @ self.x
+        return self.x @ np.linalg.pinv(self.x.T @ self.x + alpha * np.eye(p), hermitian=True)
+
     def coefficients(self, alphas: Sequence[float]) -> DataFrame:
         """Per series and penalty the intercept and the coefficients on the scaled columns."""
-        p = len(self.columns)
-        inverses = np.stack([np.linalg.pinv(self.gram + a * np.eye(p)) for a in alphas])
-        alphas, keys = [float(a) for a in alphas], self.keys
+        shared = self.values.sparkSession.sparkContext.broadcast([(float(a), self._solver(a)) for a in alphas])
+        keys = self.keys
 
         def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 if pdf.empty:
                     continue
-                xty = np.stack(pdf["_xty"].to_numpy())
-                for a, inv in zip(alphas, inverses, strict=True):
-                    yield pdf[keys].assign(alpha=a, intercept=pdf["_mean"], coef=list(xty @ inv.T))
+                y = np.stack(pdf["_y"].to_numpy())
+                for a, m in shared.value:
+                    yield pdf[keys].assign(alpha=a, intercept=pdf["_mean"], coef=list(y @ m))
 
-        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.moments.select(*keys).schema.fields)
-        return self.moments.mapInPandas(solve, f"{types}, alpha double, intercept double, coef array<double>")
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.values.select(*keys).schema.fields)
+        return self.values.mapInPandas(solve, f"{types}, alpha double, intercept double, coef array<double>")
 
     def named_coefficients(self, alpha: float | None = None) -> DataFrame:
         """Long table (series, term, coefficient) on the original scale of the columns."""
@@ -105,10 +106,23 @@ class ManyTargetRidge:
         return self._score(self.coefficients([self._alpha(alpha)]), design, out).drop("alpha")
 
     def _score(self, coef: DataFrame, design: DataFrame, out: str) -> DataFrame:
-        days = self._x(design).agg(F.collect_list(F.struct(self.day, "_x")).alias("_days"))  # the calendar, one row
-        dot = F.aggregate(F.zip_with("coef", F.col("_d._x"), lambda a, b: a * b), F.col("intercept"), lambda acc, v: acc + v)
-        return coef.join(F.broadcast(days)).select(*self.keys, "alpha", "intercept", "coef", F.explode("_days").alias("_d")).select(
-            *self.keys, "alpha", F.col(f"_d.{self.day}").alias(self.day), dot.alias(out))
+        days, x = self._x(design)
+        shared, keys, day = coef.sparkSession.sparkContext.broadcast((days, x.T)), self.keys, self.day
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            dates, xt = shared.value
+            for pdf in batches:
+                for at in range(0, len(pdf), 256):
+                    part = pdf.iloc[at:at + 256]
+                    y = np.stack(part["coef"].to_numpy()) @ xt + part["intercept"].to_numpy()[:, None]
+                    rows = part[[*keys, "alpha"]].loc[part.index.repeat(len(dates))].reset_index(drop=True)
+                    rows[day] = list(dates) * len(part)
+                    rows[out] = y.ravel()
+                    yield rows
+
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coef.select(*keys).schema.fields)
+        kind = design.select(self.day).schema[0].dataType.simpleString()
+        return coef.mapInPandas(score, f"{types}, alpha double, `{day}` {kind}, `{out}` double")
 
     def search(self, panel: DataFrame, design: DataFrame, alphas: Sequence[float]) -> DataFrame:
         """Hold-out RMSLE (both sides clipped) and RMSE per penalty; the best one is kept in ``alpha``."""

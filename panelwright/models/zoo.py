@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
@@ -20,6 +21,8 @@ from panelwright.features.steps import assemble
 from panelwright.operators.metrics import accuracy, roc_auc
 from panelwright.sources.scratch import materialize
 
+log = logging.getLogger(__name__)
+
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Class weights n / (classes * class count); the class table has one row per class."""
@@ -76,7 +79,7 @@ def positive_score(df: DataFrame) -> Column:
 
 
 def compare_models(models: Mapping[str, Estimator], df: DataFrame, ids: Sequence[str], fold: str, folds: int, label: str = "label") -> DataFrame:
-    """Scoreboard: mean and deviation of fold accuracy, pooled AUC and seconds per model, best first."""
+    """Scoreboard: mean and deviation of fold accuracy and pooled AUC per model, best first; seconds go to the log."""
     rows = []
     for name, estimator in models.items():
         start = time.monotonic()
@@ -85,16 +88,16 @@ def compare_models(models: Mapping[str, Estimator], df: DataFrame, ids: Sequence
         by_fold = accuracy(scored, label, "prediction", [fold]).agg(
             F.avg("accuracy").alias("m"), F.stddev_pop("accuracy").alias("s")).first()
         auc = roc_auc(scored.withColumn(label, F.col(label).cast("int")), label, "score").first()["auc"]
-        rows.append((name, float(by_fold["m"]), float(by_fold["s"]), None if auc is None else float(auc), time.monotonic() - start))
-    table = df.sparkSession.createDataFrame(rows, "model string, mean_accuracy double, std_accuracy double, auc double, seconds double")
+        rows.append((name, float(by_fold["m"]), float(by_fold["s"]), None if auc is None else float(auc)))
+        log.info("%s: %.1f s", name, time.monotonic() - start)
+    table = df.sparkSession.createDataFrame(rows, "model string, mean_accuracy double, std_accuracy double, auc double")
     return table.orderBy(F.col("mean_accuracy").desc(), "model")
 
 
-def text_pipeline(text: str, stop_words: Sequence[str], vocabulary: int, bigrams: bool = True, min_chars: int = 2,
-                  **svc) -> Pipeline:
-    """Tokens, optional bigrams, TF-IDF and a linear SVM; the vocabulary is capped by corpus frequency.
+def text_features(text: str, stop_words: Sequence[str], bigrams: bool = True, min_chars: int = 2, width: int = 1 << 18) -> Pipeline:
+    """Tokens, optional bigrams and TF-IDF of all terms, hashed to ``width`` dimensions.
 
-    Unigrams and bigrams share one vocabulary through an SQL concat of both arrays.
+    Unigrams and bigrams share the hashed space through an SQL concat of both arrays.
     """
     from pyspark.ml.feature import SQLTransformer
 
@@ -102,9 +105,27 @@ def text_pipeline(text: str, stop_words: Sequence[str], vocabulary: int, bigrams
     stop = StopWordsRemover(inputCol="_tok", outputCol="_words", stopWords=list(stop_words))
     gram = NGram(n=2, inputCol="_words", outputCol="_bi")
     terms = SQLTransformer(statement=f"SELECT *, {'concat(_words, _bi)' if bigrams else '_words'} AS _terms FROM __THIS__")
-    count = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocabulary)
+    count = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=width)
     idf, norm = IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="features", p=2.0)
-    return Pipeline(stages=[tok, stop, gram, terms, count, idf, norm, LinearSVC(**svc)])
+    return Pipeline(stages=[tok, stop, gram, terms, count, idf, norm])
+
+
+def text_pipeline(text: str, stop_words: Sequence[str], bigrams: bool = True, min_chars: int = 2, **svc) -> Pipeline:
+    """Text features and a linear SVM."""
+    return Pipeline(stages=[*text_features(text, stop_words, bigrams, min_chars).getStages(), LinearSVC(**svc)])
+
+
+def feature_grid_search(features: Pipeline, learner: Estimator, grid: Sequence[dict], df: DataFrame, ids: Sequence[str], fold: str, folds: int,
+                        evaluator: Evaluator, label: str = "label") -> DataFrame:
+    """Mean metric per grid point of ``learner``; the features are fitted once per fold and written, not once per point."""
+    scores = np.zeros((folds, len(grid)))
+    for k in range(folds):
+        model = features.fit(df.where(F.col(fold) != k))
+        made = materialize(model.transform(df).select(*ids, fold, label, "features"), "fold-features")
+        train, valid = made.where(F.col(fold) != k), made.where(F.col(fold) == k)
+        scores[k] = [evaluator.evaluate(learner.fit(train, params).transform(valid)) for params in grid]
+    rows = [(i, ", ".join(sorted(f"{p.name}={v}" for p, v in params.items())), float(m)) for i, (params, m) in enumerate(zip(grid, scores.mean(0), strict=True))]
+    return df.sparkSession.createDataFrame(rows, "point int, params string, metric double")
 
 
 def ridge_classifier(df: DataFrame, features: str, label: str, alpha: float) -> tuple[Model, Callable[[DataFrame], DataFrame]]:

@@ -174,7 +174,7 @@ def logistic(spark, sf):
 def linear_svm(spark, sf):
     df = labelled_documents(spark, sf)
     weighted = Z.balanced_weights(df, "label")
-    chain = Z.text_pipeline("text", english_stop_words(spark), 20_000, weightCol="weight", maxIter=10, regParam=0.01)
+    chain = Z.text_pipeline("text", english_stop_words(spark), weightCol="weight", maxIter=10, regParam=0.01)
     return Z.out_of_fold(weighted, "fold", 2, chain.fit, lambda s: s.select("doc_id", "label", "prediction"))
 
 
@@ -184,7 +184,21 @@ def linear_svm_multiclass(spark, sf):
     return _valid_scores(OneVsRest(classifier=LinearSVC(maxIter=10, regParam=0.01)).fit(df.where("NOT is_valid")), df, "vec_id")
 
 
-@plan("l10_naive_bayes")
+NAIVE_SQL = """WITH u AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+  (CAST(concat('0x', substr(md5(concat_ws(':', '3', CAST(vec_id AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0) < 0.3 AS is_valid FROM embeddings),
+x AS (SELECT vec_id, label, is_valid, unnest(e) AS v, unnest(range(1, len(e) + 1)) AS j FROM u),
+p AS (SELECT label, count(*) AS n FROM u WHERE NOT is_valid GROUP BY label),
+m AS (SELECT label, j, avg(v) AS mu, var_pop(v) AS s2, sum(CAST(v > 0 AS DOUBLE)) AS ones FROM x WHERE NOT is_valid GROUP BY label, j),
+eps AS (SELECT 1e-9 * max(s2) AS e FROM (SELECT j, var_pop(v) AS s2 FROM x WHERE NOT is_valid GROUP BY j)),
+g AS (SELECT x.vec_id, x.label, m.label AS c, ln(p.n) + sum(-0.5 * ln(2 * pi() * (s2 + e)) - pow(v - mu, 2) / (2 * (s2 + e))) AS ll
+      FROM x JOIN m USING (j) JOIN p ON p.label = m.label CROSS JOIN eps WHERE is_valid GROUP BY x.vec_id, x.label, m.label, p.n),
+b AS (SELECT x.vec_id, x.label, m.label AS c, ln(p.n + 1) + sum(CASE WHEN v > 0 THEN ln((ones + 1) / (p.n + 2)) ELSE ln(1 - (ones + 1) / (p.n + 2)) END) AS ll
+      FROM x JOIN m USING (j) JOIN p ON p.label = m.label WHERE is_valid GROUP BY x.vec_id, x.label, m.label, p.n)
+SELECT vec_id, label, CAST(arg_max(c, ll) AS DOUBLE) AS prediction, 'gaussian' AS kind FROM g GROUP BY vec_id, label
+UNION ALL SELECT vec_id, label, CAST(arg_max(c, ll) AS DOUBLE), 'bernoulli' FROM b GROUP BY vec_id, label"""
+
+
+@plan("l10_naive_bayes", NAIVE_SQL)
 def naive_bayes(spark, sf):
     df = labelled_vectors(spark, sf)
     bits = df.withColumn("features", array_to_vector(F.transform("embedding", lambda x: (x > 0).cast("double"))))
@@ -219,10 +233,10 @@ def ridge_classifier(spark, sf):
 @plan("l14_text_grid_search")
 def text_grid(spark, sf):
     df = labelled_documents(spark, sf)
-    chain = Z.text_pipeline("text", english_stop_words(spark), 5_000, maxIter=5)
-    svc = chain.getStages()[-1]
+    svc = LinearSVC(maxIter=5)
     grid = ParamGridBuilder().addGrid(svc.regParam, [0.01, 0.1]).build()
-    return Z.search_table(Z.grid_search(chain, grid, df, "fold", Z.f1_evaluator(), 2), df)
+    features = Z.text_features("text", english_stop_words(spark))
+    return Z.feature_grid_search(features, svc, grid, df, ["doc_id"], "fold", 2, Z.f1_evaluator())
 
 
 @plan("l15_model_comparison")

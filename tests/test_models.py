@@ -83,3 +83,26 @@ def test_attribution_adds_up(spark):
     total = values.groupby("id")["value"].sum()
     gap = (pdf.label - total.to_numpy()).to_numpy()
     assert len(values) == 90 and np.allclose(gap, gap[0])  # one background row: prediction minus a constant
+
+
+def test_ridge_with_more_regressors_than_days(spark):
+    rng = np.random.default_rng(8)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(60)]
+    x = rng.normal(size=(60, 2500))
+    y = {s: x[:, :5] @ rng.normal(size=5) + rng.normal(size=60) for s in "abc"}
+    wide = spark.createDataFrame([(d, r.tolist()) for d, r in zip(days, x)], "day date, x array<double>")
+    names = [f"x{i}" for i in range(2500)]
+    design = wide.select("day", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
+    panel = spark.createDataFrame([(s, d, float(v)) for s in y for d, v in zip(days, y[s])], "s string, day date, v double")
+    model = ManyTargetRidge(["s"], "v", names).fit(panel, design)
+    z = (x - x.mean(0)) / x.std(0)
+    for r in model.coefficients([2.0]).collect():
+        want = np.linalg.solve(z.T @ z + 2.0 * np.eye(2500), z.T @ y[r["s"]])
+        assert np.allclose(r["coef"], want, atol=1e-8)
+
+
+def test_power_search_leaves_its_first_box(spark):
+    from panelwright.functions.expr import fit_power
+    rng = np.random.default_rng(9)
+    lam = fit_power(spark.createDataFrame(pd.DataFrame({"x": np.power(1 + 4.5 * (0.5 + 0.05 * rng.normal(size=2000)), 1 / 4.5)})), "x")
+    assert lam > 2.05
