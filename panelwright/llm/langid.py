@@ -111,8 +111,8 @@ class LanguageModel:
         return named, score, ~lettered | (score < self.reject_below)
 
 
-def train(features: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 8, rate: float = 0.5, seed: int = 11) -> LanguageModel:
-    """Gradient descent over small batches; every fifth text calibrates the temperature and the rejection threshold."""
+def train(features: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 8, least_steps: int = 600, rate: float = 0.5, seed: int = 11) -> LanguageModel:
+    """Gradient descent over batches of 32, at least ``least_steps`` of them; every fifth text calibrates the temperature and the rejection threshold."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
@@ -128,11 +128,9 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epoc
         rows, n = features[i]
         return (n / n.sum()).astype(np.float32) @ embeddings[rows]
 
-    for _ in range(epochs):
-        for lo in range(0, len(learn), 32):
-            pick = rng.permutation(learn)[:32] if lo == 0 else batch_order[lo : lo + 32]
-            if lo == 0:
-                batch_order = rng.permutation(learn)
+    for _ in range(max(epochs, -(-32 * least_steps // len(learn)))):
+        order = rng.permutation(learn)
+        for pick in np.split(order, range(32, len(order), 32)):
             x = np.stack([average(i) for i in pick])
             z = x @ softmax + bias
             z = np.exp(z - z.max(1, keepdims=True))
