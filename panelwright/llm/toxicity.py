@@ -27,6 +27,7 @@ BUCKETS = 1 << 16  # rows of each hashed table
 WIDTH = 8  # numbers a row
 WIDTHS = (1, 2, 3)  # words under a filter
 FILTERS = 8  # filters of each width
+SHRINK = 100  # toxic calibration texts at which a language's own threshold and that of all weigh the same
 _PAD = max(WIDTHS) - 1
 
 
@@ -37,7 +38,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _rows_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mask = np.uint64(BUCKETS - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
+    return (hashes & mask).astype(np.int32), ((hashes >> np.uint64(32)) & mask).astype(np.int32)
 
 
 @dataclass
@@ -213,7 +214,7 @@ def _adam(model: ConvModel, firsts, seconds, labels, epochs: int, rate: float, r
 def _calibrate(model: ConvModel, firsts, seconds, labels, ratio: float) -> None:
     """For each recognised language the logit with the best F1 at the expected ratio of labels, and one slope for all.
 
-    A language without both labels in the sample takes the threshold of all.
+    A language's threshold is drawn to that of all by its number of toxic texts.
     """
     logits, langs = np.empty(len(labels)), np.empty(len(labels), np.int64)
     for lo in range(0, len(labels), 256):
@@ -233,7 +234,12 @@ def _calibrate(model: ConvModel, firsts, seconds, labels, ratio: float) -> None:
     whole = best(logits, labels)
     for k in range(len(model.cuts)):
         own = langs == k
-        model.cuts[k] = best(logits[own], labels[own]) if min((labels[own] == 0).sum(), (labels[own] == 1).sum()) >= 20 else whole
+        n = int((labels[own] == 1).sum())
+        if n and (labels[own] == 0).any():
+            # few toxic texts place a threshold badly: it is drawn to that of all languages
+            model.cuts[k] = (n * best(logits[own], labels[own]) + SHRINK * whole) / (n + SHRINK)
+        else:
+            model.cuts[k] = whole
     spread = np.abs(logits - model.cuts[langs])
     model.slope = float(4 / max(np.median(spread), 1e-6))
 
