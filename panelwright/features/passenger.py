@@ -52,19 +52,14 @@ class PassengerFeaturizer(StateEstimator):
     def _fit(self, df: DataFrame) -> "PassengerFeaturizerModel":
         needed = ["Pclass", "Sex", "Age", "SibSp", "Parch", "Fare", "Embarked", "Surname", *NUMERIC[3:8], "Title", "Deck", "TicketItem"]
         rows = freeze(parse_passengers(df).select(*needed), "passengers")  # read by every statistic below
-        fitted = {}
-
-        def step(name, estimator, frame):
-            fitted[name] = estimator.fit(frame)
-            return fitted[name].transform(frame)
-
-        rows = step("embarked_fare", SimpleImputer(["Fare"], ["Embarked"]), rows)
-        rows = age_group(step("age", GroupMedianImputer(["Pclass", "Sex", "Title"], "Age"), rows))
-        rows = rows.withColumn("FareScaled", F.log1p("Fare"))
-        rows = step("fare_scale", PopulationScaler(["FareScaled"]), rows)
-        rows = step("surname", FrequencyEncoder("Surname", "SurnameCount"), rows)
-        rows = step("rare", RareLevelCollapser(CATEGORICAL, self.min_freq), rows)
-        fitted["one_hot"] = DomainOneHot(CATEGORICAL, drop_first=True).fit(rows)
+        # medians, mode and counts need parsed columns only; the age groups alone need an imputed one
+        fitted = {"embarked_fare": SimpleImputer(["Fare"], ["Embarked"]).fit(rows),
+                  "age": GroupMedianImputer(["Pclass", "Sex", "Title"], "Age").fit(rows),
+                  "surname": FrequencyEncoder("Surname", "SurnameCount").fit(rows)}
+        filled = fitted["embarked_fare"].transform(rows)
+        fitted["fare_scale"] = PopulationScaler(["FareScaled"]).fit(filled.withColumn("FareScaled", F.log1p("Fare")))
+        fitted["rare"] = RareLevelCollapser(CATEGORICAL, self.min_freq).fit(age_group(fitted["age"].transform(filled)))
+        fitted["one_hot"] = DomainOneHot(CATEGORICAL, drop_first=True, domains=fitted["rare"].domains(CATEGORICAL)).fit(filled)
         tables = {f"{n}.{t}": frame for n, m in fitted.items() for t, frame in m.tables.items()}
         return PassengerFeaturizerModel({n: m.state for n, m in fitted.items()}, tables)
 

@@ -167,14 +167,18 @@ class RareLevelCollapser(StateEstimator):
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in self.columns])).alias("r"))
         counts = freeze(long.select("r.*").where(F.col("level").isNotNull()).groupBy("column", "level").agg(
             F.count(F.lit(1)).alias("_n")), "level-counts")
+        n_rows = df.count()
         if self.base == "rows":
-            threshold = F.lit(int(self.min_freq * df.count()))
+            threshold = F.lit(int(self.min_freq * n_rows))
         else:
             sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
             threshold = F.lit(0.0)
             for c, n in sizes.items():
                 threshold = F.when(F.col("column") == c, F.lit(self.min_freq * n)).otherwise(threshold)
         kept = counts.where(F.col("_n") >= threshold)
+        covered = {r["column"]: r["n"] for r in kept.groupBy("column").agg(F.sum("_n").alias("n")).collect()}
+        # columns with training rows that become Other
+        state["other"] = {c: covered.get(c, 0) < n_rows for c in self.columns}
         n_kept = {r["column"]: r["count"] for r in kept.groupBy("column").count().collect()}
         small = [c for c in self.columns if n_kept.get(c, 0) <= MAX_LEVELS or self.base == "rows"]
         for r in kept.where(F.col("column").isin(*small)).orderBy("column", "level").collect():
@@ -186,6 +190,10 @@ class RareLevelCollapser(StateEstimator):
 
 
 class RareLevelCollapserModel(StateModel):
+    def domains(self, columns: Sequence[str]) -> dict[str, list[str]]:
+        """Sorted levels of the collapsed training columns, known without reading them again."""
+        return {c: sorted({*self.state["kept"][c], *(["Other"] if self.state["other"][c] else [])}) for c in columns}
+
     def _transform(self, df: DataFrame) -> DataFrame:
         kept = self.state["kept"]
         out = df.withColumns({

@@ -12,11 +12,14 @@ from panelwright.functions.expr import clip, cross, guarded_ratio, literal_map,
 from panelwright.functions.text import extract, words
 from panelwright.operators.scale import exact_quantiles, join_lookup, quantile_values, with_group_stats
 
+# Input columns and patterns of codes.
 SPEND = ["RoomService", "FoodCourt", "ShoppingMall", "Spa", "VRDeck"]
 LEVELS = ["HomePlanet", "Destination", "Deck", "Side", "Surname", "DeckSide", "HomeDest"]
 CABIN = r"([A-Z])/(\d+)/([PS])"
 GROUP = r"(\d+)_(\d+)"
 INFINITY = float("inf")
+# Columns that name or label a row.
+NOT_FEATURES = ("PassengerId", "Transported")
 # Domain bins and the deck order.
 AGE_BINS = [0, 12, 18, 25, 30, 50, 100]
 SECTION_BINS = [-1, 300, 600, 900, 2000]
@@ -90,12 +93,14 @@ class GroupSpendFeaturizer(StateEstimator):
         rare = RareLevelCollapser(LEVELS, self.min_freq, base="levels").fit(rows)
         state["rare"] = rare.state
         tables |= {f"level.{c}": t for c, t in rare.tables.items()}
-        preview = GroupSpendFeaturizerModel(state, tables)
-        raw = freeze(preview.raw_from_rows(rows), "voyage-preview")
-        state["scale"] = PopulationScaler(["TotalSpend"]).fit(raw).state
-        # surnames may have any number of levels, so only the other levels become columns
-        state["one_hot"] = DomainOneHot([c for c in LEVELS if c not in ("Surname", *self.drop_cols)], drop_first=True).fit(raw).state
-        return GroupSpendFeaturizerModel(state, tables)
+        state["scale"] = PopulationScaler(["TotalSpend"]).fit(rows).state
+        # surnames may have any number of levels: the matrix holds their share of the training rows instead
+        shown = [c for c in LEVELS if c not in ("Surname", *self.drop_cols)]
+        state["one_hot"] = DomainOneHot(shown, drop_first=True, domains=rare.domains(shown)).fit(rows).state
+        state["n_rows"] = rows.count()
+        model = GroupSpendFeaturizerModel(state, tables)
+        state["names"] = [c for c in model.transform(df).columns if c not in NOT_FEATURES]
+        return model
 
 
 class GroupSpendFeaturizerModel(StateModel):
@@ -131,8 +136,11 @@ class GroupSpendFeaturizerModel(StateModel):
         return d.drop(*s["drop_cols"])
 
     def feature_names(self) -> list[str]:
-        return DomainOneHotModel(self.state["one_hot"]).names()
+        """All features of the matrix in output order: numeric ones, then encoded levels."""
+        return list(self.state["names"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        """The numeric matrix; ``drop_cols`` may name encoded columns too."""
         scaled = PopulationScalerModel(self.state["scale"]).transform(self.raw_view(df))
-        return DomainOneHotModel(self.state["one_hot"]).transform(scaled)
+        shares = scaled.withColumn("Surname", F.when(F.col("Surname") != "Other", F.col("FamilySize")).otherwise(F.lit(0)) / F.lit(self.state["n_rows"])) if "Surname" in scaled.columns else scaled
+        return DomainOneHotModel(self.state["one_hot"]).transform(shares).drop(*self.state["drop_cols"])

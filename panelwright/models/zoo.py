@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwright.features.steps import assemble
 from panelwright.operators.metrics import accuracy, roc_auc
+from panelwright.operators.splits import bootstrap_weight
 from panelwright.sources.scratch import materialize
 
 log = logging.getLogger(__name__)
@@ -72,6 +73,24 @@ def out_of_fold(df: DataFrame, fold: str, folds: int, fit: Callable[[DataFrame],
     return out
 
 
+def bagged_scores(estimator: Estimator, train: DataFrame, rows: DataFrame, ids: Sequence[str], bags: int, score: Callable[[DataFrame], Column],
+                  key: Sequence[str] | None = None, seed: int = 0) -> DataFrame:
+    """Mean score of ``bags`` models, each fitted on a bootstrap resample given as row weights.
+
+    The weights are Poisson counts from the hash of ``key``, so no resampled table is made.
+    """
+    models = []
+    for b in range(bags):
+        weighted = train.withColumn("_bag", bootstrap_weight(key or ids, b, seed).cast("double")).where("_bag > 0")
+        models.append(estimator.copy({estimator.weightCol: "_bag"}).fit(weighted))
+    out = rows.withColumn("_total", F.lit(0.0))
+    base = out.columns
+    for m in models:
+        scored = m.transform(out)
+        out = scored.withColumn("_total", F.col("_total") + score(scored)).select(*base)
+    return out.select(*ids, (F.col("_total") / bags).alias("score"))
+
+
 def positive_score(df: DataFrame) -> Column:
     """Probability of class 1 where the learner gives one, else its raw margin."""
     source = "probability" if "probability" in df.columns else "rawPrediction"

@@ -110,22 +110,29 @@ def _durbin_levinson(acov: pd.Series) -> pd.Series:
     return acov.map(one)
 
 
-def cross_correlation(aligned: DataFrame, time: str, x: str, y: str, lags: int) -> DataFrame:
-    """CCF of one aligned pair: mean of (x_{t+k} - mx)(y_t - my) / (sx sy) over the full length, for k in -lags..lags.
+def cross_correlations(aligned: DataFrame, keys: Sequence[str], time: str, x: str, y: str, lags: int) -> DataFrame:
+    """CCF of every series: mean of (x_{t+k} - mx)(y_t - my) / (sx sy) over the full length, for k in -lags..lags.
 
-    ``aligned`` has one row per period, so the calendar bounds its single window.
+    ``aligned`` has one row per series and period, so the calendar bounds each
+    window. A constant side gives NULL.
     """
-    one = aligned.select(F.lit(0).alias("_k"), time, F.col(x).alias("_x"), F.col(y).alias("_y")).na.drop()
-    w, whole = Window.partitionBy("_k").orderBy(time), Window.partitionBy("_k")
-    z = one.select(
-        "_k", time,
+    rows = aligned.select(*keys, time, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).na.drop(subset=["_x", "_y"])
+    w, whole = Window.partitionBy(*keys).orderBy(time), Window.partitionBy(*keys)
+    z = rows.select(
+        *keys, time,
         F.try_divide(F.col("_x") - F.avg("_x").over(whole), F.stddev_pop("_x").over(whole)).alias("_x"),
         F.try_divide(F.col("_y") - F.avg("_y").over(whole), F.stddev_pop("_y").over(whole)).alias("_y"))
-    products = z.select(*[(F.lead("_x", k).over(w) * F.col("_y")).alias(f"_p{i}") for i, k in enumerate(range(-lags, lags + 1))])
-    sums = products.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in products.columns])
-    return sums.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("lag"), (F.col(f"_p{i}") / F.col("_n")).alias("ccf"), F.col("_n").alias("n"))
-        for i, k in enumerate(range(-lags, lags + 1))])).alias("r")).select("r.*")
+    names = [f"_p{i}" for i in range(2 * lags + 1)]
+    products = z.select(*keys, *[(F.lead("_x", k).over(w) * F.col("_y")).alias(n) for n, k in zip(names, range(-lags, lags + 1))])
+    sums = products.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in names])
+    return sums.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("lag"), (F.col(n) / F.col("_n")).alias("ccf"), F.col("_n").alias("n"))
+        for n, k in zip(names, range(-lags, lags + 1))])).alias("r")).select(*keys, "r.*")
+
+
+def cross_correlation(aligned: DataFrame, time: str, x: str, y: str, lags: int) -> DataFrame:
+    """CCF of one aligned pair, one row per period."""
+    return cross_correlations(aligned.withColumn("_k", F.lit(0)), ["_k"], time, x, y, lags).drop("_k")
 
 
 def driver_ccf(driver: DataFrame, price: str, cycle: DataFrame, level: str, lags: int, rule: str | None = "W-SUN",

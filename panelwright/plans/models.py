@@ -184,6 +184,17 @@ def linear_svm_multiclass(spark, sf):
     return _valid_scores(OneVsRest(classifier=LinearSVC(maxIter=10, regParam=0.01)).fit(df.where("NOT is_valid")), df, "vec_id")
 
 
+@plan("l13_one_feature_ridge_classifier", """
+WITH r AS (SELECT c_custkey, c_acctbal AS x, (c_acctbal > 5000) <> ((CAST(concat('0x', substr(md5(concat_ws(':', 'noise', CAST(c_custkey AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0) < 0.1) AS up,
+  CAST(concat('0x', substr(md5(concat_ws(':', '5', CAST(c_custkey AS VARCHAR))), 1, 8)) AS BIGINT) % 3 AS fold FROM customer),
+t AS (SELECT avg(x) AS mx, avg(CASE WHEN up THEN 1.0 ELSE -1.0 END) AS my, covar_pop(x, CASE WHEN up THEN 1.0 ELSE -1.0 END) * count(*) / (var_pop(x) * count(*) + 50000000.0) AS b FROM r WHERE fold <> 0)
+SELECT c_custkey, round(my + b * (x - mx), 6) + 0.0 AS score, CAST(my + b * (x - mx) > 0 AS DOUBLE) AS prediction FROM r, t WHERE fold = 0""")
+def ridge_classifier_one(spark, sf):
+    df = assemble(labelled_customers(spark, sf).drop("features"), ["c_acctbal"])
+    _, predict = Z.ridge_classifier(df.where("fold <> 0"), "features", "label", 50_000_000.0)
+    return predict(df.where("fold = 0")).select("c_custkey", rounded("score", 6).alias("score"), "prediction")
+
+
 NAIVE_SQL = """WITH u AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
   (CAST(concat('0x', substr(md5(concat_ws(':', '3', CAST(vec_id AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0) < 0.3 AS is_valid FROM embeddings),
 x AS (SELECT vec_id, label, is_valid, unnest(e) AS v, unnest(range(1, len(e) + 1)) AS j FROM u),
@@ -302,6 +313,47 @@ def out_of_fold(spark, sf):
     return _two_scores(spark, sf)
 
 
+def _bag_sql(b):
+    from panelwright.plans.splits import POISSON_ONE, uniform_sql
+    u = uniform_sql("CAST(p_partkey AS VARCHAR)", f"0.{b}")
+    return " + ".join(f"CAST({u} >= {p!r} AS INTEGER)" for p in POISSON_ONE)
+
+
+@plan("k6_bagged_scores", f"""
+WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_retailprice / 10 + p_size * 2 AS y, {", ".join(f"{_bag_sql(b)} AS w{b}" for b in range(3))} FROM part),
+""" + ",\n".join(f"""s{b} AS (SELECT (sum(w{b} * x * y) / sum(w{b}) - sum(w{b} * x) / sum(w{b}) * sum(w{b} * y) / sum(w{b})) / (sum(w{b} * x * x) / sum(w{b}) - pow(sum(w{b} * x) / sum(w{b}), 2)) AS a{b},
+  sum(w{b} * x) / sum(w{b}) AS mx{b}, sum(w{b} * y) / sum(w{b}) AS my{b} FROM p)""" for b in range(3)) + """
+SELECT p_partkey, round((my0 + a0 * (x - mx0) + my1 + a1 * (x - mx1) + my2 + a2 * (x - mx2)) / 3, 4) + 0.0 AS score FROM p, s0, s1, s2""")
+def bagged(spark, sf):
+    df = assemble(priced_parts(spark, sf).drop("features"), ["p_size"])
+    out = Z.bagged_scores(LinearRegression(solver="normal"), df, df, ["p_partkey"], 3, lambda s: F.col("prediction"))
+    return out.select("p_partkey", rounded("score").alias("score"))
+
+
+@plan("k7_out_of_fold_linear", """
+WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_retailprice / 10 + p_size * 2 AS y,
+  CAST(concat('0x', substr(md5(concat_ws(':', '5', CAST(p_partkey AS VARCHAR))), 1, 8)) AS BIGINT) % 3 AS fold FROM part),
+s AS (SELECT k, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM p, (SELECT unnest([0, 1, 2]) AS k) g WHERE fold <> k GROUP BY k)
+SELECT p_partkey, CAST(fold AS INTEGER) AS fold, round(b + a * x, 4) + 0.0 AS prediction FROM p JOIN s ON s.k = p.fold""")
+def out_of_fold_linear(spark, sf):
+    df = assemble(priced_parts(spark, sf).drop("features"), ["p_size"])
+    out = Z.out_of_fold(df, "fold", 3, LinearRegression(solver="normal").fit, lambda s: s.select("p_partkey", "fold", "prediction"))
+    return out.select("p_partkey", "fold", rounded("prediction").alias("prediction"))
+
+
+@plan("l2_penalty_search_one_regressor", f"""
+WITH {FULL_SQL}, c AS (SELECT max(day) - 180 AS cut FROM fp), tr AS (SELECT series, regr_slope(v, t) AS b, avg(v) AS m, avg(t) AS mt, count(*) AS n FROM fp, c WHERE day <= cut GROUP BY series),
+p AS (SELECT alpha, v, m + b * n / (n + alpha) * (t - mt) AS p FROM fp JOIN tr USING (series) CROSS JOIN (SELECT unnest([0.0, 10.0, 1000.0, 100000.0]) AS alpha) g, c WHERE day > cut)
+SELECT CAST(alpha AS DOUBLE) AS alpha, round(sqrt(avg(pow(ln(1 + greatest(p, 0)) - ln(1 + greatest(v, 0)), 2))), 6) + 0.0 AS rmsle, round(sqrt(avg(pow(p - v, 2))), 2) + 0.0 AS rmse FROM p GROUP BY alpha""")
+def penalty_search_one(spark, sf):
+    panel = materialize(full_panel(spark, sf), "panel")
+    design, _, last = design_for(panel)
+    design, cut = design.select("day", "trend"), F.lit(last - dt.timedelta(180))
+    model = ManyTargetRidge(KEYS, "v", ["trend"]).fit(panel.where(F.col("day") <= cut), design.where(F.col("day") <= cut))
+    out = model.search(panel.where(F.col("day") > cut), design.where(F.col("day") > cut), [0.0, 10.0, 1000.0, 100000.0])
+    return out.select("alpha", rounded("rmsle", 6).alias("rmsle"), rounded("rmse", 2).alias("rmse"))
+
+
 @plan("l21_stacking")
 def stacking(spark, sf):
     scores = assemble(_two_scores(spark, sf), ["s_logistic", "s_tree"])

@@ -99,6 +99,17 @@ def residuals(spark, sf):
 RES_SQL = "rs AS (SELECT series, day, v - avg(v) OVER (PARTITION BY series, isodow(day)) AS res, n FROM p)"
 
 
+@plan("m5_cross_correlation_by_series", f"""
+WITH {PANEL_SQL}, {RES_SQL},
+i AS (SELECT series, CAST(res AS DOUBLE) AS y, CAST(n AS DOUBLE) AS x, row_number() OVER (PARTITION BY series ORDER BY day) AS t FROM rs WHERE res IS NOT NULL AND n IS NOT NULL),
+z AS (SELECT series, t, (x - avg(x) OVER w) / nullif(stddev_pop(x) OVER w, 0) AS x, (y - avg(y) OVER w) / nullif(stddev_pop(y) OVER w, 0) AS y, count(*) OVER w AS n FROM i WINDOW w AS (PARTITION BY series))
+SELECT a.series, CAST(k AS INTEGER) AS lag, round(sum(b.x * a.y) / max(a.n), 6) + 0.0 AS ccf, max(a.n) AS n
+FROM (SELECT unnest(range(-5, 6)) AS k) g, z a JOIN z b ON b.series = a.series AND b.t = a.t + k GROUP BY a.series, k""")
+def cross_correlation_by_series(spark, sf):
+    out = S.cross_correlations(residuals(spark, sf), KEYS, "day", "n", "res", 5)
+    return out.select("series", "lag", rounded("ccf", 6).alias("ccf"), "n")
+
+
 @plan("m6_best_lag_summary", f"""
 WITH {PANEL_SQL}, {RES_SQL}, ff AS (SELECT series, day, last_value(res IGNORE NULLS) OVER w AS res, last_value(n IGNORE NULLS) OVER w AS n
   FROM rs WINDOW w AS (PARTITION BY series ORDER BY day)),

@@ -10,6 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+_owners: list[list[str]] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
@@ -29,7 +32,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root; nothing is reused or overwritten."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -39,12 +45,9 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-_owners: list[list[str]] = []
-
-
 @contextmanager
 def scratch_area(spark: SparkSession) -> Iterator[None]:
-    """Deletes what ``materialize`` wrote inside the block when it ends.
+    """Deletes every scratch path that was made inside the block when it ends.
 
     Frames that read these tables must have been written or collected by then.
     """
@@ -64,6 +67,4 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    if _owners:
-        _owners[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
