@@ -134,5 +134,40 @@ class ManyTargetRidge:
         return table
 
 
+class SeriesRidge:
+    """Ridge with intercept of every series on regressors of its own, such as its lags.
+
+    Each series is solved from its rows, one a calendar day. Regressors are
+    standardised per series; a constant one gets coefficient zero.
+    """
+
+    def __init__(self, keys: Sequence[str], value: str, columns: Sequence[str], alpha: float = 10.0):
+        self.keys, self.value, self.columns, self.alpha = list(keys), value, list(columns), alpha
+
+    def fit(self, rows: DataFrame) -> "SeriesRidge":
+        """Rows with a NULL in the value or a regressor do not count."""
+        keys, value, columns, alpha = self.keys, self.value, self.columns, self.alpha
+        used = rows.select(*keys, F.col(value).cast("double").alias("_y"), F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("_x"))
+        used = used.where(F.col("_y").isNotNull() & F.forall("_x", lambda v: v.isNotNull()))
+
+        def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            x, y = np.stack(pdf["_x"].to_numpy()).astype(float), pdf["_y"].to_numpy()
+            scale = x.std(0)
+            z = (x - x.mean(0)) / np.where(scale > 0, scale, 1.0)
+            coef = np.linalg.pinv(z.T @ z + alpha * np.eye(len(columns)), hermitian=True) @ (z.T @ (y - y.mean()))
+            coef = coef / np.where(scale > 0, scale, 1.0)
+            return pd.DataFrame([[*key, y.mean() - coef @ x.mean(0), coef.tolist()]], columns=[*keys, "_intercept", "_coef"])
+
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
+        self.table = materialize(used.groupBy(*keys).applyInPandas(solve, f"{types}, _intercept double, _coef array<double>"), "series-ridge")
+        return self
+
+    def predict(self, rows: DataFrame, out: str = "baseline") -> DataFrame:
+        """Keys, day and prediction; a NULL regressor counts as zero. Series without a fit are left out."""
+        x = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in self.columns])
+        dot = F.aggregate(F.zip_with("_coef", "_x", lambda a, b: a * b), F.col("_intercept"), lambda acc, v: acc + v)
+        return rows.select(*self.keys, "day", x.alias("_x")).join(self.table, self.keys).select(*self.keys, "day", dot.alias(out))
+
+
 def log_grid(low: float, high: float, steps: int) -> list[float]:
     return [float(v) for v in np.logspace(np.log10(low), np.log10(high), steps)]

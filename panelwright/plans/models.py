@@ -18,7 +18,7 @@ from panelwright.models.ridge import ManyTargetRidge, log_grid
 from panelwright.operators import user as U
 from panelwright.operators.neighbors import nearest_neighbors, vote
 from panelwright.operators.splits import group_fold, holdout, stratified_folds, uniform
-from panelwright.plans.panels import KEYS, PANEL_SQL, dense_panel, promotions
+from panelwright.plans.panels import KEYS, PANEL_SQL, dense_panel, driver, promotions
 from panelwright.plans.registry import day_text, plan, rounded
 from panelwright.plans.text import PAIRS_SQL, conversation_pairs
 from panelwright.sources.scratch import materialize
@@ -298,6 +298,84 @@ def recursive(spark, sf):
     return FC.recursive_forecast(model, panel, _future(panel, model.last, 16), 16)
 
 
+# --- the whole hybrid: 25 series keyed by priority and region ---------------------------
+
+KEYS2 = ["series", "region"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+WHOLE_SQL = """o AS (SELECT o_orderpriority AS series, r_name AS region, CAST(o_orderdate AS DATE) AS day, o_totalprice AS p FROM orders
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+ob AS (SELECT series, region, day, sum(p) AS v, count(*) AS n FROM o GROUP BY ALL),
+cal AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM ob),
+fp AS (SELECT s.series, s.region, cal.day, coalesce(v, 0) AS v, coalesce(n, 0) AS n FROM (SELECT DISTINCT series, region FROM ob) s CROSS JOIN cal LEFT JOIN ob ON ob.series = s.series AND ob.region = s.region AND ob.day = cal.day),
+e AS (SELECT max(day) AS last FROM fp)"""
+
+
+def whole_panel(spark, sf):
+    """Dense panel by priority and region: value, number of orders (the driver) and a promotion flag from the calendar."""
+    from panelwright.operators.panel import daily_panel, dense_daily
+    rows = scan(spark, sf, "orders").join(scan(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+        scan(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(scan(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    daily = daily_panel(rows, {"series": F.col("o_orderpriority"), "region": F.col("r_name")}, F.col("o_orderdate"), {"v": F.sum("o_totalprice"), "n": F.count(F.lit(1)).cast("double")})
+    dense = dense_daily(daily, KEYS2, shared_calendar=True).na.fill(0.0, ["v", "n"])
+    return materialize(dense.withColumn("promo", (F.dayofmonth("day") <= 3).cast("double")), "whole-panel")
+
+
+def whole_model(spark, sf, panel, trees=5):
+    first, last = FC.K.day_bounds(panel, "day")
+    days = FC.calendar_days(panel, first, last + dt.timedelta(16))
+    weekly = FC.P.weekly_driver_features(driver(spark, sf), "price", days, returns=False)
+    national = ((F.month("day") == 7) & (F.dayofmonth("day") == 4)) | ((F.month("day") == 12) & (F.dayofmonth("day") == 25))
+    day_table = materialize(days.withColumn("national", national.cast("double")).join(weekly, "day", "left").na.fill(0.0), "day-table")
+    places = days.where((F.month("day") == 5) & (F.dayofmonth("day") == 1)).select("day", F.explode(F.array(F.lit("EUROPE"), F.lit("ASIA"))).alias("region"), F.lit(1.0).alias("local_holiday"))
+    meta = panel.select(*KEYS2).distinct().withColumns({"region_name": F.col("region"), "urgent": F.col("series").rlike("^[12]").cast("double")})
+    return FC.WholeForecast(KEYS2, trees=trees, depth=3, driver="n", day_table=day_table, metadata=meta, domains={"region_name": REGIONS}, place_events=places, place="region")
+
+
+@plan("l18_whole_feature_day", f"""
+WITH {WHOLE_SQL}, l AS (SELECT fp.*, date_diff('day', day, last) + 1 AS k FROM fp, e WHERE day > last - 9)
+SELECT series, region, strftime(last + 1, '%Y-%m-%d') AS day, {", ".join(f"round(max(v) FILTER (WHERE k = {k}), 2) + 0.0 AS y_lag_{k}, round(max(ln(1 + n)) FILTER (WHERE k = {k}), 6) + 0.0 AS driver_lag_{k}" for k in (1, 2, 9))},
+  CAST((month(last + 1) = 7 AND day(last + 1) = 4) OR (month(last + 1) = 12 AND day(last + 1) = 25) AS DOUBLE) AS "national",
+  CAST(day(last + 1) <= 3 AS DOUBLE) AS onp_expo_0_2, CAST(isodow(last + 1) - 1 AS DOUBLE) AS weekday, CAST(month(last + 1) AS DOUBLE) AS month,
+  CAST(month(last + 1) = 5 AND day(last + 1) = 1 AND region IN ('EUROPE', 'ASIA') AS DOUBLE) AS local_holiday, CAST(series[1] IN ('1', '2') AS DOUBLE) AS urgent,
+  CAST(region = 'ASIA' AS DOUBLE) AS "region_name_ASIA", CAST(region = 'EUROPE' AS DOUBLE) AS "region_name_EUROPE"
+FROM l, e GROUP BY series, region, last""")
+def whole_features(spark, sf):
+    panel = whole_panel(spark, sf)
+    model = whole_model(spark, sf, panel)
+    model.first, last = FC.K.day_bounds(panel, "day")
+    ahead = panel.where(F.col("day") == F.lit(last)).select(*KEYS2, F.lit(last + dt.timedelta(1)).alias("day"), F.lit(None).cast("double").alias("v"), F.lit(None).cast("double").alias("n"),
+                                                            (F.dayofmonth(F.lit(last + dt.timedelta(1))) <= 3).cast("double").alias("promo"))
+    both, at = panel.unionByName(ahead), F.col("day") == F.lit(last + dt.timedelta(1))
+    base = model.baseline_rows(both).where(at).select(*KEYS2, "national", *[f"driver_lag_{k}" for k in (1, 2, 9)])
+    rows = model._features(both).where(at).join(base, KEYS2)
+    return rows.select(*KEYS2, day_text("day").alias("day"), *[x for k in (1, 2, 9) for x in (rounded(f"y_lag_{k}", 2).alias(f"y_lag_{k}"), rounded(f"driver_lag_{k}", 6).alias(f"driver_lag_{k}"))],
+                       "national", "onp_expo_0_2", "weekday", "month", "local_holiday", "urgent", "region_name_ASIA", "region_name_EUROPE")
+
+
+@plan("l19_two_day_recursion", f"""
+WITH {WHOLE_SQL}, x AS (SELECT series, region, day, v, lag(v) OVER (PARTITION BY series, region ORDER BY day) AS l FROM fp),
+f AS (SELECT series, region, covar_pop(v, l) * count(*) / nullif(var_pop(l) * count(*) + 10 * var_pop(l), 0) AS b, avg(v) AS my, avg(l) AS mx FROM x WHERE l IS NOT NULL GROUP BY ALL),
+d1 AS (SELECT f.*, last, greatest(my + coalesce(b, 0) * (v - mx), 0) AS p1 FROM f JOIN fp USING (series, region), e WHERE day = last)
+SELECT series, region, strftime(last + 1, '%Y-%m-%d') AS day, round(p1, 2) + 0.0 AS forecast FROM d1
+UNION ALL SELECT series, region, strftime(last + 2, '%Y-%m-%d'), round(greatest(my + coalesce(b, 0) * (p1 - mx), 0), 2) + 0.0 FROM d1""")
+def two_days(spark, sf):
+    panel = whole_panel(spark, sf)
+    model = FC.WholeForecast(KEYS2, lags=1, trees=0, calendar=False).fit(panel)
+    ahead = panel.select(*KEYS2).distinct().withColumn("day", F.explode(F.sequence(F.lit(model.last + dt.timedelta(1)), F.lit(model.last + dt.timedelta(2))))).withColumn("promo", F.lit(0.0))
+    out = FC.recursive_forecast(model, panel, ahead, 2)
+    return out.select(*KEYS2, day_text("day").alias("day"), rounded("forecast", 2).alias("forecast"))
+
+
+@plan("l19_whole_horizon")
+def whole_horizon(spark, sf):
+    panel = whole_panel(spark, sf)
+    model = whole_model(spark, sf, panel).fit(panel)
+    orders = FC.driver_forecast(panel, KEYS2, "n", 16)
+    ahead = orders.withColumn("promo", (F.dayofmonth("day") <= 3).cast("double"))
+    return FC.recursive_forecast(model, panel, ahead, 16)
+
+
 def _two_scores(spark, sf):
     df = labelled_customers(spark, sf)
 

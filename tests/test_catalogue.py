@@ -9,7 +9,8 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = ["a1_csv_scan", "a6_training_batches", "b13_cross_series_median", "c9_clean_text", "c15_encode_pairs", "d6_design_matrix", "e1_group_aggregate",
           "e14_outliers", "f1_group_size", "f13_best_lag", "g5_asof_by_key", "g7_group_lookup_fallback", "g11_nearest_neighbors", "h2_wide_to_long",
           "k3_stratified_folds", "m10_event_study", "m12_gap_fill", "m15_national_matrix", "j16_passenger_raw_view", "j17_row_features",
-          "n4_roc_auc", "n8_chi_square", "n14_numeric_drift", "l22_threshold_sweep", "l24_batch_scoring", "p3_user_aggregate"]
+          "n4_roc_auc", "n8_chi_square", "n8_chi_square_yates", "n14_numeric_drift", "l22_threshold_sweep", "l24_batch_scoring", "p3_user_aggregate",
+          "k4_stratified_group_folds", "k6_bagged_scores", "l10_naive_bayes", "l19_two_day_recursion", "m5_cross_correlation_by_series", "o4_online_lags"]
 ALL = sorted(__spark_entry__.oracle_sql())
 
 
