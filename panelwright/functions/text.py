@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelwright.operators.scale import join_lookup, running_totals
+from panelwright.sources.scratch import materialize
 
 # Unicode white space, and a word character (letter, digit or underscore).
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
@@ -98,8 +99,9 @@ def tfidf(counts: DataFrame, id_col: str, n_docs: DataFrame, cap: int | None = N
     ``n_docs`` is a one-row frame with ``n_docs``. Terms meet their idf in a
     salted join; the norm is taken over the terms of one document.
     """
-    idf = vocabulary(counts, cap).join(F.broadcast(n_docs)).select(
-        "term", "df", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    counts = materialize(counts, "term-counts")  # texts are split into terms once
+    idf = materialize(vocabulary(counts, cap).join(F.broadcast(n_docs)).select(
+        "term", "df", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")), "idf")
     raw = join_lookup(counts, idf, ["term"], "df", [id_col], "inner").select(
         id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
@@ -120,15 +122,16 @@ def ids_of(vocab: DataFrame) -> DataFrame:
     Terms of one frequency are cut by their leading characters, so no task
     numbers all of them: sums of the cuts give each its offset.
     """
-    cut = vocab.select("term", "corpus_tf", F.substring("term", 1, 3).alias("_lead"))
+    cut = materialize(vocab.select("term", "corpus_tf", F.substring("term", 1, 3).alias("_lead")), "vocabulary")
     sizes = cut.groupBy("corpus_tf", "_lead").agg(F.count(F.lit(1)).alias("_n"))
     above = running_totals(sizes.groupBy("corpus_tf").agg(F.sum("_n").alias("_all")), "corpus_tf", ["_all"]).select(
         "corpus_tf", (F.col("tot__all") - F.col("cum__all")).alias("_above"))
     before = Window.partitionBy("corpus_tf").orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("corpus_tf", "_lead", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).join(above, "corpus_tf")
     inside = F.row_number().over(Window.partitionBy("corpus_tf", "_lead").orderBy("term"))
-    return cut.withColumn("_no", inside).join(offsets, ["corpus_tf", "_lead"]).select(
+    numbered = cut.withColumn("_no", inside).join(offsets, ["corpus_tf", "_lead"]).select(
         "term", "corpus_tf", (F.col("_above") + F.col("_before") + F.col("_no") + (FIRST_FREE - 1)).cast("long").alias("token_id"))
+    return materialize(numbered, "token-ids")
 
 
 def encode_pairs(df: DataFrame, id_cols: Sequence[str], first: Column, second: Column, vocab: DataFrame,
