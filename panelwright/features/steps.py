@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwright.features.base import FitError, StateEstimator, StateModel, freeze
 from panelwright.operators.profile import categorical_profile
 from panelwright.operators.reshape import collinear_columns, constant_columns, spearman_matrix
-from panelwright.operators.scale import exact_quantiles, join_lookup, quantile_values
+from panelwright.operators.scale import exact_quantiles, join_lookup, numbered_by_hash, quantile_values
 
 # One-hot domains become columns, so a fit refuses more levels than this.
 MAX_LEVELS = 5_000
@@ -209,7 +209,8 @@ class DomainOneHot(StateEstimator):
     """Frozen one-hot columns ``<column>_<level>``; unknown levels are all zeros.
 
     Levels are sorted; ``drop_first`` leaves out the first one. The domain may be
-    given, else it is fitted; more than MAX_LEVELS levels are refused.
+    given, else it is fitted; more than MAX_LEVELS levels are
+    refused: ``SparseOneHot`` takes any number.
     """
 
     def __init__(self, columns: Sequence[str], drop_first: bool = False, domains: dict[str, list[str]] | None = None,
@@ -289,6 +290,33 @@ class RangeScalerModel(StateModel):
                                for c, a, b in zip(s["columns"], s["low"], s["high"], strict=True)})
 
 
+class SparseOneHot(StateEstimator):
+    """One sparse vector for a column with any number of levels; unseen levels and NULL give the zero vector.
+
+    Levels are numbered in hash order in a table that is joined, not collected.
+    """
+
+    def __init__(self, column: str, out: str, index: str | None = None):
+        super().__init__()
+        self.column, self.out, self.index = column, out, index or f"{column}_index"
+
+    def _fit(self, df: DataFrame) -> "SparseOneHotModel":
+        counts = df.where(F.col(self.column).isNotNull()).groupBy(F.col(self.column).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("_n"))
+        levels = freeze(numbered_by_hash(freeze(counts, "level-counts"), ["level"], out="_no").withColumn("_no", F.col("_no") - 1), "level-index")
+        return SparseOneHotModel({"column": self.column, "out": self.out, "index": self.index, "size": levels.count()}, {"levels": levels})
+
+
+class SparseOneHotModel(StateModel):
+    def _transform(self, df: DataFrame) -> DataFrame:
+        s = self.state
+        named = df.withColumn("level", F.col(s["column"]).cast("string"))
+        # the last category stands for everything unseen and is the one that the encoder leaves out
+        indexed = join_lookup(named, self.tables["levels"], ["level"], "_n").withColumn(s["index"], F.coalesce("_no", F.lit(s["size"])).cast("double"))
+        indexed = indexed.select(*df.columns, s["index"])
+        encoder = OneHotEncoder(inputCol=s["index"], outputCol=s["out"], dropLast=True)
+        return encoder.fit(df.sparkSession.createDataFrame([(float(s["size"]),)], f"`{s['index']}` double")).transform(indexed)
+
+
 class FrequencyEncoder(StateEstimator):
     """Training count of a level; unseen levels and NULL get the default."""
 

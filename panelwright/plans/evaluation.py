@@ -1,5 +1,7 @@
 """Metric, association, drift and score-combination plans."""
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from panelwright.functions.expr import TRANSFORMS
@@ -137,11 +139,12 @@ def normality(spark, sf):
 
 
 @plan("n12_quantile_quantile", """
-SELECT CAST(p / 20.0 AS DOUBLE) AS probability, round(list_extract(q, p), 4) + 0.0 AS sample FROM (SELECT unnest(range(1, 20)) AS p) g,
-  (SELECT quantile_cont(o_totalprice, [""" + ", ".join(str(i / 20) for i in range(1, 20)) + """]) AS q FROM orders)""")
+SELECT CAST(p / 20.0 AS DOUBLE) AS probability, round(list_extract(q, p), 4) + 0.0 AS sample,
+  round(m + s * list_extract([""" + ", ".join(repr(NormalDist().inv_cdf(i / 20)) for i in range(1, 20)) + """], p), 4) + 0.0 AS "normal" FROM (SELECT unnest(range(1, 20)) AS p) g,
+  (SELECT quantile_cont(o_totalprice, [""" + ", ".join(str(i / 20) for i in range(1, 20)) + """]) AS q, avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s FROM orders)""")
 def qq(spark, sf):
     out = M.quantile_quantile(scan(spark, sf, "orders"), "o_totalprice")
-    return out.select(F.col("probability"), rounded("sample").alias("sample"))
+    return out.select(F.col("probability"), rounded("sample").alias("sample"), rounded("normal").alias("normal"))
 
 
 def half_months(spark, sf):

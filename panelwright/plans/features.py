@@ -127,6 +127,17 @@ def one_hot(spark, sf):
     return S.DomainOneHot(["o_orderpriority", "o_orderstatus"], drop_first=True).fit(train).transform(orders)
 
 
+@plan("j9_sparse_one_hot", """
+WITH l AS (SELECT c_name, row_number() OVER (ORDER BY md5(concat_ws(':', '0', c_name)), c_name) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 7 <> 0))
+SELECT c_custkey, coalesce(CAST(i AS DOUBLE), (SELECT CAST(max(n) AS DOUBLE) FROM l)) AS c_name_index, (SELECT CAST(max(n) AS INTEGER) FROM l) AS size, CAST(i IS NOT NULL AS INTEGER) AS ones
+FROM customer LEFT JOIN l USING (c_name)""")
+def sparse_one_hot(spark, sf):
+    c = scan(spark, sf, "customer", ["c_custkey", "c_name"])
+    model = S.SparseOneHot("c_name", "name_vector").fit(c.where(F.col("c_custkey") % 7 != 0))
+    size = F.lit(model.state["size"])
+    return model.transform(c).select("c_custkey", "c_name_index", size.cast("int").alias("size"), (F.col("c_name_index") < size).cast("int").alias("ones"))
+
+
 @plan("j10_standard_scaler", """
 WITH t AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer WHERE c_custkey % 5 <> 0)
 SELECT c_custkey, round((c_acctbal - m) / s, 6) + 0.0 AS c_acctbal, round((c_acctbal - 0) / s, 6) + 0.0 AS not_centred FROM customer, t""")

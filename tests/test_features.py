@@ -99,3 +99,14 @@ def test_cleaner_and_tokens(spark):
     assert [r[0] for r in df.select(F.size(T.words(F.col("t")))).collect()] == [8, 0, 0]
     toks = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
     assert [r[0] for r in toks.select(T.ngrams(F.col("t"), 1, 3)).collect()] == [["a", "b", "c", "a b", "b c", "a b c"], ["a"], []]
+
+
+def test_sparse_one_hot_takes_any_number_of_levels(spark):
+    from panelwright.features.steps import SparseOneHot
+    df = spark.range(7000).selectExpr("id", "concat('level ', id) AS c")
+    model = SparseOneHot("c", "v").fit(df)
+    rows = model.transform(df.union(spark.createDataFrame([(-1, "unseen"), (-2, None)], "id long, c string"))).collect()
+    seen = [r for r in rows if r["id"] >= 0]
+    assert {r["v"].size for r in rows} == {7000} and {r["v"].numNonzeros() for r in seen} == {1}
+    assert len({int(r["v"].indices[0]) for r in seen}) == 7000
+    assert all(r["v"].numNonzeros() == 0 for r in rows if r["id"] < 0)
