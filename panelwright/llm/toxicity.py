@@ -3,8 +3,9 @@
 Words are embedded by two hashed tables (two hashes, so that a word shares both
 rows with hardly any other), filters of several widths slide over them, and the
 largest response of each filter over the whole text feeds a logistic layer.
-Thresholds are calibrated for each language; the language is recognised from
-the same hashed words, as the table's own column is no input of a score.
+Thresholds are calibrated for each language on all labelled rows that the net
+did not learn from; the language is recognised from the same hashed words, as
+the table's own column is no input of a score.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -28,6 +30,7 @@ WIDTH = 8  # numbers a row
 WIDTHS = (1, 2, 3)  # words under a filter
 FILTERS = 8  # filters of each width
 SHRINK = 100  # toxic calibration texts at which a language's own threshold and that of all weigh the same
+STEP, EDGE = 64, 4096  # the calibration counts logits in steps of 1 / STEP, at most EDGE steps from 0
 _PAD = max(WIDTHS) - 1
 
 
@@ -114,20 +117,17 @@ def _log_odds(buckets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.sign(odds) * np.maximum(0, np.abs(odds) - 1.64 * np.sqrt((1 / counts).sum(0)))
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str | None], ratio: float = 1.0, epochs: int = 6, rate: float = 0.02,
-          seed: int = 7) -> ConvModel:
-    """Fit on word hashes of labelled texts.
+def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str | None], epochs: int = 6, rate: float = 0.02, seed: int = 7) -> ConvModel:
+    """Fit on word hashes of labelled texts; the thresholds stay at logit 0.
 
     The first number of an embedding starts at the word's log odds in the
     sample, the others at small random values; Adam then trains all weights.
-    ``ratio`` is the number of clean texts for a toxic one where the model is
-    used; it weighs false alarms when thresholds are chosen. Without both labels
-    the model gives every text the sample's only label.
+    Without both labels the model gives every text the sample's only label.
     """
     rng = np.random.default_rng(seed)
     firsts, seconds = zip(*[_rows_of(t) for t in texts]) if texts else ((), ())
     tables = tuple(rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32) for _ in range(2))
-    learn, check = _parts(labels)
+    learn = _learned(labels)
     for t, b in zip(tables, (firsts, seconds)):
         t[:, 0] = np.clip(_log_odds([b[i] for i in learn], labels[learn]) / 4, -1, 1)
     filters = {w: rng.normal(0, 0.1, (w, 2 * WIDTH, FILTERS)).astype(np.float32) for w in WIDTHS}
@@ -147,20 +147,19 @@ def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str | Non
         model.bias, model.cuts = 0.0, np.full(len(model.cuts), -4.0 if only else 4.0)
         return model
     _adam(model, [firsts[i] for i in learn], [seconds[i] for i in learn], labels[learn], epochs, rate, rng)
-    _calibrate(model, [firsts[i] for i in check], [seconds[i] for i in check], labels[check], ratio)
     return model
 
 
-def _parts(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Three quarters of each label to learn from, the rest to calibrate on; all for both where that leaves too few."""
+def _learned(labels: np.ndarray) -> np.ndarray:
+    """Three quarters of each label to learn from, so that the others show how unseen texts score; all where that leaves too few."""
     number = np.empty(len(labels), np.int64)
     for y in (0, 1):
         own = labels == y
         number[own] = np.arange(own.sum())
-    check = np.flatnonzero(number % 4 == 3)
-    if min((labels[check] == 0).sum(), (labels[check] == 1).sum()) < 8:
-        return np.arange(len(labels)), np.arange(len(labels))
-    return np.flatnonzero(number % 4 != 3), check
+    rest = number % 4 == 3
+    if min((labels[rest] == 0).sum(), (labels[rest] == 1).sum()) < 8:
+        return np.arange(len(labels))
+    return np.flatnonzero(~rest)
 
 
 def _batch(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,51 +210,80 @@ def _adam(model: ConvModel, firsts, seconds, labels, epochs: int, rate: float, r
                     np.add.at(model.tables[t], ids[hit], -rate * g[hit] / np.sqrt(squares[t][ids[hit]]))
 
 
-def _calibrate(model: ConvModel, firsts, seconds, labels, ratio: float) -> None:
-    """For each recognised language the logit with the best F1 at the expected ratio of labels, and one slope for all.
+def _histograms(docs: DataFrame, known: DataFrame, model: ConvModel, learned: np.ndarray) -> pd.DataFrame:
+    """Number ``n`` of the rows of ``known`` (doc_id, toxic) by language, label, step of the logit, ``long`` (more words than the sample takes) and ``seen`` (learned from).
 
-    A language's threshold is drawn to that of all by its number of toxic texts.
+    Texts are scored whole where they lie; only ids and steps are shuffled. What
+    reaches the driver is at most 2 * EDGE + 1 steps for each language and kind.
     """
-    logits, langs = np.empty(len(labels)), np.empty(len(labels), np.int64)
-    for lo in range(0, len(labels), 256):
-        a, rows = _batch(firsts[lo : lo + 256])
-        b, _ = _batch(seconds[lo : lo + 256])
-        logits[lo : lo + 256], langs[lo : lo + 256] = model.logits(a, b, rows), model.language(a, rows)
-
-    def best(z: np.ndarray, y: np.ndarray) -> float:
-        order = np.argsort(-z, kind="stable")
-        z, y = z[order], y[order]
-        weigh = max(1.0, ratio * y.sum() / max(1.0, (1 - y).sum()))
-        f1 = 2 * np.cumsum(y) / (np.cumsum(y) + weigh * np.cumsum(1 - y) + y.sum())
-        f1[:-1][z[:-1] == z[1:]] = -1  # a threshold cannot part equal logits
-        k = int(f1.argmax())
-        return float((z[k] + z[k + 1]) / 2 if k + 1 < len(z) else z[k] - 1)
-
-    whole = best(logits, labels)
-    for k in range(len(model.cuts)):
-        own = langs == k
-        n = int((labels[own] == 1).sum())
-        if n and (labels[own] == 0).any():
+    shared = docs.sparkSession.sparkContext.broadcast((model, learned))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, learned = shared.value
+        for batch in batches:
+            for lo, hi in slices(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                hashes, rows = hashed_words(part.column(1))
+                first, second = _rows_of(hashes)
+                step = np.clip(np.floor(model.logits(first, second, rows) * STEP), -EDGE, EDGE).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.language(first, rows), pa.int32()), pa.array(step), pa.array(np.diff(rows) > SAMPLE_WORDS),
+                                                  pa.array(np.isin(part.column(0).to_numpy(), learned))], ["doc_id", "language", "step", "long", "seen"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    scored = rows.mapInArrow(run, "doc_id long, language int, step int, long boolean, seen boolean")
+    return scored.join(known, "doc_id").groupBy("language", "toxic", "step", "long", "seen").agg(F.count(F.lit(1)).alias("n")).toPandas()
+
+
+def _calibrate(model: ConvModel, counts: pd.DataFrame) -> None:
+    """For each recognised language the logit with the best F1 over the labelled rows, and one slope for all.
+
+    Rows that the net learned from score too well. The others of the same
+    language, label and length stand for them, so all labelled rows weigh in
+    with the language's own ratio of labels. The threshold of a language with
+    few toxic rows is drawn to that of all.
+    """
+    group = counts.groupby(["language", "toxic", "long"])
+    fresh = counts["n"].where(~counts["seen"], 0)
+    others = fresh.groupby([counts["language"], counts["toxic"], counts["long"]]).transform("sum")
+    rows = counts.assign(fresh=fresh, weight=fresh * group["n"].transform("sum") / others.clip(lower=1))[~counts["seen"]]
+    if not len(rows):
+        rows = counts.assign(fresh=counts["n"], weight=counts["n"].astype(float))
+    width = len(model.cuts)
+
+    def best(part: pd.DataFrame) -> float:
+        steps = part.assign(bad=part["weight"] * (part["toxic"] == 1)).groupby("step")[["bad", "weight"]].sum().sort_index(ascending=False)
+        step, bad, called = steps.index.to_numpy(), steps["bad"].cumsum().to_numpy(), steps["weight"].cumsum().to_numpy()
+        k = int((2 * bad / (called + bad[-1])).argmax())
+        # between the step and the next lower one that has rows
+        return float((step[k] + step[k + 1] + 1) / 2 if k + 1 < len(step) else step[k] - STEP) / STEP
+
+    whole = best(rows)
+    for k in range(width):
+        own = rows[rows["language"] == k]
+        n = int(own.loc[own["toxic"] == 1, "fresh"].sum())
+        if n and (own["toxic"] == 0).any():
             # few toxic texts place a threshold badly: it is drawn to that of all languages
-            model.cuts[k] = (n * best(logits[own], labels[own]) + SHRINK * whole) / (n + SHRINK)
+            model.cuts[k] = (n * best(own) + SHRINK * whole) / (n + SHRINK)
         else:
             model.cuts[k] = whole
-    spread = np.abs(logits - model.cuts[langs])
-    model.slope = float(4 / max(np.median(spread), 1e-6))
+    spread = np.abs((rows["step"].to_numpy() + 0.5) / STEP - model.cuts[rows["language"].to_numpy()])
+    order = np.argsort(spread)
+    total = rows["fresh"].to_numpy()[order].cumsum()
+    model.slope = float(4 / max(spread[order][np.searchsorted(total, total[-1] / 2)], 1e-6))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, size: int) -> tuple[list[tuple[np.ndarray, int, str | None]], float]:
-    """Word hashes, label and language of at most ``size`` labelled documents, half of them toxic if there are as many.
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the documents that may be learned from, one row an id."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+    known = known.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return materialize(known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"), "labelled")
+
 
-    Also the ratio of clean to toxic labels among all that may be learned from.
+def _sample(docs: DataFrame, known: DataFrame, size: int) -> list[tuple[int, np.ndarray, int, str | None]]:
+    """Id, word hashes, label and language of at most ``size`` labelled documents, half of them toxic if there are as many.
 
     Drawn by the hash of the id. The ids (at most ``size``) are broadcast; texts are hashed in the tasks.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    known = known.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    known = materialize(known, "labelled")
-    n_toxic, n_clean = known.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1))).first()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     toxic = known.where("toxic = 1").orderBy(*order).limit(size // 2)
     clean = known.where("toxic = 0").orderBy(*order).limit(size - size // 2)
@@ -274,13 +302,20 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> tuple[list[tuple[n
                                                  ["doc_id", "words", "lang", "toxic"])
 
     got = rows.mapInArrow(run, "doc_id long, words binary, lang string, toxic int").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return [(np.frombuffer(w, np.uint64), int(y), x) for w, y, x in zip(got["words"], got["toxic"], got["lang"])], n_clean / max(1, n_toxic)
+    return [(int(i), np.frombuffer(w, np.uint64), int(y), x) for i, w, y, x in zip(got["doc_id"], got["words"], got["toxic"], got["lang"])]
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> ConvModel:
-    """Train on a sample of at most ``size`` labelled documents that are not held out."""
-    rows, ratio = _sample(docs, labels, size)
-    return train([r[0] for r in rows], np.array([r[1] for r in rows], np.float32), [r[2] for r in rows], ratio)
+    """Train on a sample of at most ``size`` labelled documents that are not held out, then choose thresholds from all such documents."""
+    known = _labelled(docs, labels)
+    rows = _sample(docs, known, size)
+    toxic = np.array([r[2] for r in rows], np.float32)
+    model = train([r[1] for r in rows], toxic, [r[3] for r in rows])
+    if len(set(toxic.tolist())) == 2:
+        learned = _learned(toxic)
+        # where the net learned from the whole sample, no row is left that could stand for another
+        _calibrate(model, _histograms(docs, known, model, np.array([rows[i][0] for i in learned] if len(learned) < len(rows) else [], np.int64)))
+    return model
 
 
 def with_score(docs: DataFrame, model: ConvModel, text: str = "text", to: str = "score") -> DataFrame:

@@ -67,6 +67,32 @@ def test_pooling_equals_plain_convolution():
         assert got[i] == pytest.approx(want, abs=1e-4)
 
 
+def test_thresholds_count_all_labelled_rows(spark, monkeypatch):
+    docs, labels = corpus(spark)
+    docs = docs.union(spark.createDataFrame([(i, words(9000, i) + " vileword" * (i % 2), "en") for i in range(1000, 1008)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(i, i % 2) for i in range(1000, 1008)], labels.schema))
+    seen = []
+    monkeypatch.setattr(toxicity, "_calibrate", lambda model, counts: seen.append(counts))
+    toxicity.fit(docs, labels, 80)
+    want = labels.where(~toxicity.held_out(labels["doc_id"]))
+    long = want.where("doc_id >= 1000").count()
+    assert seen[0]["n"].sum() == want.count() and seen[0].loc[seen[0]["toxic"] == 1, "n"].sum() == want.where("toxic = 1").count()
+    assert long and seen[0].loc[seen[0]["long"], "n"].sum() == long and seen[0].loc[seen[0]["seen"], "n"].sum() in range(50, 61)
+
+
+def test_a_small_language_has_its_own_threshold():
+    import pandas as pd
+
+    def rows(language, toxic, at, n, seen=False):
+        return {"language": language, "toxic": toxic, "step": int(at * toxicity.STEP), "long": False, "seen": seen, "n": n}
+
+    model = toxicity.train([np.array([i], np.uint64) for i in range(40)], np.array([0, 1] * 20, np.float32), ["en", "fr"] * 20, epochs=1)
+    # scores of learned rows must not draw the threshold up
+    counts = [rows(0, 1, 2, 90000), rows(0, 0, -2, 900000), rows(1, 1, 6, 2000), rows(1, 0, 4, 20000), rows(1, 1, 9, 900, True), rows(0, 0, -9, 2000, True)]
+    toxicity._calibrate(model, pd.DataFrame(counts))
+    assert abs(model.cuts[0]) < 0.1 and 4.5 < model.cuts[1] < 5.2
+
+
 def test_registered_query(spark):
     import __spark_entry__
 
