@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.llm.components import connected_components
-from panelwright.llm.hnsw import Graph
+from panelwright.llm.hnsw import AUDITED, Graph
 from panelwright.sources.scratch import materialize
 
 LEAST = 0.98
@@ -39,6 +39,13 @@ def _identified(vectors: DataFrame) -> DataFrame:
         "vec_id", "label", F.when(F.col("ok"), F.col("v")).alias("v"), F.when(F.col("ok"), F.xxhash64("label", "v")).alias("g"))
 
 
+def _with_queries(placed: DataFrame) -> DataFrame:
+    """``placed`` and, marked ``outside``, a sample of the other shards' vectors for each shard: about one for ``AUDITED`` of its own."""
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("shards") - 1), lambda k: (k != F.col("shard")) & (F.pmod(F.xxhash64(F.lit(19), "g", k), AUDITED * (F.col("shards") - 1)) == 0)))
+    sample = placed.where("shards > 1").withColumn("shard", other)
+    return placed.withColumn("outside", F.lit(False)).unionByName(sample.withColumn("outside", F.lit(True)))
+
+
 def _links(groups: DataFrame, least: float, capacity: int) -> DataFrame:
     """(a, b, n): for each vector group the number of other vectors it links with in one shard, or a spanning link a-b (n null)."""
     sizes = materialize(groups.groupBy("label", F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("in_label")), "label-sizes")
@@ -48,11 +55,15 @@ def _links(groups: DataFrame, least: float, capacity: int) -> DataFrame:
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("g")
-        graph = Graph(_stack(rows["v"]))
+        others, rows = rows[rows["outside"]], rows[~rows["outside"]]
+        if not len(rows):
+            return pd.DataFrame({"label": pd.Series(dtype="str"), "width": pd.Series(dtype="int32"), "shard": pd.Series(dtype="int32"), "shards": pd.Series(dtype="int32"),
+                                 "graph": pd.Series(dtype="object"), "members": pd.Series(dtype="object")})
+        graph = Graph(_stack(rows["v"]), least=least, others=_stack(others["v"]) if len(others) else None)
         members = np.stack([rows["g"].to_numpy(), rows["n"].to_numpy()])[:, graph.order]
         return pd.DataFrame({"label": [key[0]], "width": [key[1]], "shard": [key[2]], "shards": [int(rows["shards"].iloc[0])], "graph": [graph.to_bytes()], "members": [members.tobytes()]})
 
-    graphs = placed.groupBy("label", "width", "shard").applyInPandas(build, "label string, width int, shard int, shards int, graph binary, members binary")
+    graphs = _with_queries(placed).groupBy("label", "width", "shard").applyInPandas(build, "label string, width int, shard int, shards int, graph binary, members binary")
     graphs = materialize(graphs, "graphs")
     every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
     asked = placed.select("label", "width", F.col("shard").alias("block"), "g", "v", every.alias("shard"))

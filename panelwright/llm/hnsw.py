@@ -15,12 +15,14 @@ CHOSEN = 12  # links a new node gets
 BUILD_BEAM = 32
 BLOCK = 256
 EXPANDED = 4  # beam entries expanded at once
-AUDIT = 64  # queries of a recall audit
-RECALL = 0.995  # that an audit has to reach
+AUDIT = 64  # least number of queries of each kind in a recall audit
+AUDITED = 16  # one node in so many is a query of the audit, if these are more
+RECALL = 0.995  # that an audit has to reach in each class of queries
 
 
 class Graph:
-    def __init__(self, vectors: np.ndarray, seed: int = 1):
+    def __init__(self, vectors: np.ndarray, seed: int = 1, least: float = 0.98, others: np.ndarray | None = None):
+        """``others`` are vectors outside the graph that the audit queries too."""
         rng = np.random.default_rng(seed)
         level = np.minimum(np.floor(-np.log(1 - rng.random(len(vectors))) / np.log(CHOSEN)).astype(int), 6)
         self.order = np.argsort(-level, kind="stable")
@@ -33,7 +35,7 @@ class Graph:
         for k in range(len(counts) - 1, -1, -1):
             self._build(k)
         self.beam = 32
-        self._audit()
+        self._audit(least, others, rng)
 
     def _build(self, layer: int) -> None:
         links, n = self.layers[layer], len(self.layers[layer])
@@ -190,22 +192,57 @@ class Graph:
             out.extend(np.flatnonzero(c >= least) for c in cos)
         return out
 
-    def _audit(self, least: float = 0.98) -> None:
-        """Doubles the beam until sampled queries find what an exact comparison finds; beyond 512 every node is compared."""
-        pick = np.linspace(0, len(self.raw) - 1, min(AUDIT, len(self.raw))).astype(int) if len(self.raw) else np.empty(0, int)
+    def _probes(self, nodes: np.ndarray, least: float, rng: np.random.Generator) -> np.ndarray:
+        """Vectors outside the graph, each with a cosine of ``least`` or somewhat more with one of the nodes."""
+        base = self.raw[nodes] / self.norms[nodes, None]
+        side = rng.normal(size=base.shape)
+        side -= (side * base).sum(1, keepdims=True) * base
+        side /= np.sqrt((side * side).sum(1, keepdims=True))
+        cos = least + (1 - least) * rng.uniform(0.05, 0.9, (len(nodes), 1))
+        return cos * base + np.sqrt(1 - cos * cos) * side
+
+    def _audit(self, least: float, others: np.ndarray | None, rng: np.random.Generator) -> None:
+        """Doubles the beam until sampled queries find what an exact comparison finds; beyond 512 every node is compared.
+
+        Queries are nodes, probes close to nodes, and ``others``. The recall of a
+        query is its own share of found matches, itself left out; queries of one
+        kind whose numbers of matches have the same power of two form a class, and
+        the mean recall of every class has to reach ``RECALL``.
+        """
+        n = len(self.raw)
+        if self.beam >= n:
+            return
+        count = min(n, max(AUDIT, n // AUDITED))
+        pick = np.linspace(0, n - 1, count).astype(int)
+        kinds = [(self.raw[pick], pick)]
+        if self.raw.shape[1] > 1:
+            kinds.append((self._probes(rng.integers(0, n, count), least, rng), None))
+        if others is not None and len(others):
+            kinds.append((others, None))
         # matches at the threshold are rare in some data, so nearest neighbours are audited too
-        exact = self.exact(self.raw[pick], least)
-        sims = self.unit[pick] @ self.unit.T
-        sims[np.arange(len(pick)), pick] = -2
-        nearest = sims.argmax(1) if len(pick) else pick
-        while self.beam < len(self.raw):
-            got = self.within(self.raw[pick], least)
-            found = sum(len(np.intersect1d(a, b)) for a, b in zip(got, exact))
-            ids, _ = self._search(0, self.unit[pick], self.beam, len(self.raw))
-            close = (ids == nearest[:, None]).any(1).mean()
-            if found >= RECALL * sum(map(len, exact)) and close >= 0.9:
+        nearest = []
+        for lo in range(0, count, BLOCK):
+            sims = self.unit[pick[lo : lo + BLOCK]] @ self.unit.T
+            sims[np.arange(len(sims)), pick[lo : lo + BLOCK]] = -2
+            nearest.append(sims.argmax(1))
+        nearest = np.concatenate(nearest)
+        exact = [self.exact(raw, least) for raw, _ in kinds]
+        while self.beam < n:
+            close = [(self._search(0, self.unit[pick[lo : lo + BLOCK]], self.beam, n)[0] == nearest[lo : lo + BLOCK, None]).any(1) for lo in range(0, count, BLOCK)]
+            if np.concatenate(close).mean() >= 0.9 and all(self._recalls(raw, own, want, least) >= RECALL for (raw, own), want in zip(kinds, exact)):
                 break
-            self.beam = self.beam * 2 if self.beam < 512 else len(self.raw)
+            self.beam = self.beam * 2 if self.beam < 512 else n
+
+    def _recalls(self, raw: np.ndarray, own: np.ndarray | None, exact: list[np.ndarray], least: float) -> float:
+        """The least mean recall of a class of queries; ``own`` are the nodes that the queries are, if they are any."""
+        sums = np.zeros((64, 2))
+        for i, (got, want) in enumerate(zip(self.within(raw, least), exact)):
+            if own is not None:
+                want = want[want != own[i]]
+            if len(want):
+                sums[len(want).bit_length()] += np.isin(want, got).mean(), 1
+        some = sums[sums[:, 1] > 0]
+        return float((some[:, 0] / some[:, 1]).min(initial=1.0))
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()

@@ -79,6 +79,50 @@ def test_graph_recall_and_round_trip():
     assert sum(map(len, found)) >= 0.98 * sum(map(len, exact))
 
 
+def clustered(n=2000, dims=24):
+    """A third of near copies, the rest in pairs."""
+    rng = np.random.default_rng(8)
+    pairs = rng.normal(size=(n // 3, dims))
+    return np.concatenate([rng.normal(size=dims) + rng.normal(size=(n // 3, dims)) * 0.02, pairs, pairs + rng.normal(size=pairs.shape) * 0.05])
+
+
+def test_audit_sees_lost_pairs_beside_a_hot_cluster():
+    class Lossy(Graph):
+        def within(self, raw, least, beam=None):
+            got = self.exact(raw, least)
+            return got if self.beam >= 128 else [x if len(x) > 2 else x[:0] for x in got]
+
+    assert Lossy(clustered()).beam >= 128
+
+
+def test_audit_sees_queries_that_are_no_nodes():
+    class Lossy(Graph):
+        def within(self, raw, least, beam=None):
+            known = set(map(bytes, self.raw))
+            return [x if self.beam >= 128 or bytes(r) in known else x[:0] for r, x in zip(raw, self.exact(raw, least))]
+
+    assert Lossy(clustered()).beam >= 128
+    assert Lossy(clustered(), others=clustered()[:9] * 2).beam >= 128
+
+
+def test_audit_grows_with_the_graph_and_takes_given_vectors():
+    asked = []
+
+    class Counting(Graph):
+        def within(self, raw, least, beam=None):
+            asked.append(len(raw))
+            return self.exact(raw, least)
+
+    Counting(clustered(3000), others=clustered()[:77])
+    assert asked[:3] == [187, 187, 77]
+
+
+def test_shards_get_vectors_of_other_shards_for_the_audit(spark):
+    placed = spark.range(6000).selectExpr("id g", "cast(id % 3 as int) shard", "3 shards")
+    got = embedding_dedup._with_queries(placed).where("outside").toPandas()
+    assert (got["g"] % 3 != got["shard"]).all() and got["shard"].value_counts().between(60, 200).all() and got["shard"].nunique() == 3
+
+
 def test_registered_query(spark):
     import __spark_entry__
 
