@@ -15,13 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from panelwright.sources.scratch import materialize
 
 MARKER = re.compile(r"\s*(<\|[A-Za-z_ ]{1,20}\|>|#{1,4} ?[A-Za-z ]{1,20}?:?(?=\s*$)|\*{0,2}[A-Za-z ]{1,20}\*{0,2}:(?=\s|$))[ \t]*")
 MARKERS = 500  # most speaker markers that the model tells apart; the rest count as one
 ROLES = 12  # most roles that the model tells apart, the commonest
 SEGMENT = 512  # turns parsed together; a longer conversation is parsed in segments
-FLOOD = 4096  # rows of one segment from which rows with equal turn numbers are parsed in parts
+FLOOD = 4096  # most rows parsed together; a segment with more, by repeated turn numbers, is cut into consecutive blocks
 
 #: How raw transcripts mark speakers, by style; the last two put the marker on a line of its own.
 STYLES = (
@@ -44,17 +46,19 @@ def raw_transcripts(turns: DataFrame) -> DataFrame:
 
     ``blocks`` are the turns as they stand in the transcript, one conversation
     in one style. Conversations of more than ``SEGMENT`` turns give several
-    parts. Null texts are empty, null roles are ``unknown``, null turns come
-    first, rows with equal turn numbers are ordered by role and text.
+    parts, and parts of more than ``FLOOD`` rows several ways, which follow each
+    other in the order of rows. Null texts are empty, null roles are
+    ``unknown``, null turns come first, rows with equal turn numbers are ordered
+    by role and text.
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1)).cast("long"))
     # at most rows / FLOOD entries
     flood = rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FLOOD)
-    flood = flood.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.ceil(F.col("n") / (FLOOD // 2)).alias("_ways"))
-    rows = rows.join(F.broadcast(flood), rows["conv_id"].eqNullSafe(F.col("_c")) & (rows["part"] == F.col("_p")), "left")
-    rows = rows.withColumn("way", F.coalesce(F.pmod(F.xxhash64("turn", "role", "text"), F.col("_ways")), F.lit(0)))
+    flood = F.broadcast(flood.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p")))
+    own = rows["conv_id"].eqNullSafe(F.col("_c")) & (rows["part"] == F.col("_p"))
+    rows = rows.join(flood, own, "left_anti").withColumn("way", F.lit(0).cast("long")).unionByName(_blocks(rows.join(flood, own).drop("_c", "_p")))
     style = F.pmod(F.xxhash64(F.lit(4), "conv_id"), F.lit(len(STYLES)))
     known = [x for k, names in enumerate(STYLES) for role, mark in names.items() for x in (F.lit(f"{k}{role}"), F.lit(mark + ("\n" if k > 2 else " ")))]
     mark = F.coalesce(F.element_at(F.create_map(*known), F.concat(style.cast("string"), F.col("role"))), F.concat(F.initcap("role"), F.lit(": ")))
@@ -66,6 +70,26 @@ def raw_transcripts(turns: DataFrame) -> DataFrame:
                           F.array_join("t.block", "\n").alias("transcript"))
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``way``: rows of a segment, in order of turn, role and text, by consecutive blocks of ``FLOOD``.
+
+    Ranges of that order are numbered by themselves and shifted by the rows of
+    the ranges below. A number of its own parts equal rows, so no range has all of them.
+    """
+    order = ["turn", "role", "text", "nth"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the number is kept first, as the borders are drawn from one pass and used in another
+    kept = materialize(rows.withColumn("nth", F.monotonically_increasing_id()), "flood")
+    cut = materialize(kept.repartitionByRange(parts, "conv_id", "part", *order).withColumn("range", F.spark_partition_id()), "flood-ranges")
+    below = F.sum("n").over(Window.partitionBy("conv_id", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = cut.groupBy("conv_id", "part", "range").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.col("range").alias("_r"), F.coalesce(below, F.lit(0)).alias("below"))
+    placed = cut.withColumn("inside", F.row_number().over(Window.partitionBy("conv_id", "part", "range").orderBy(*order)))
+    # a segment has at most ``parts`` ranges
+    placed = placed.join(F.broadcast(offsets), placed["conv_id"].eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p")) & (F.col("range") == F.col("_r")))
+    return placed.select(*rows.columns, F.floor((F.col("below") + F.col("inside") - 1) / FLOOD).cast("long").alias("way"))
+
+
 def line_features(lines: Sequence[str]) -> list[tuple[str, str, str, str]]:
     """What each line shows: marker, blank lines (itself, before, at the very start), length class, ending."""
     out, before = [], "start"

@@ -50,3 +50,14 @@ def test_long_conversations_are_parsed_in_segments(spark):
     turns = turns.union(spark.range(5000).selectExpr("8L", "0L", "'user'", "concat('same place ', id)"))
     raw = chat.raw_transcripts(turns).select(F.size("roles").alias("n")).collect()
     assert sum(r["n"] for r in raw) == 8000 and max(r["n"] for r in raw) <= 4096
+
+
+def test_flooded_segments_are_cut_in_order(spark):
+    turns = spark.range(9000).selectExpr("1L conv_id", "0L turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('text ', lpad(id, 5, '0')) text")
+    turns = turns.union(spark.range(10000).selectExpr("cast(null as long)", "3L", "'user'", "'the same'"))
+    raw = chat.raw_transcripts(turns.repartition(7)).select("conv_id", "part.way", "roles", "blocks").collect()
+    one = sorted((r for r in raw if r["conv_id"] == 1), key=lambda r: r["way"])
+    got = [(role, block[-5:]) for r in one for role, block in zip(r["roles"], r["blocks"])]
+    assert got == sorted((("user", "assistant")[i % 2], f"{i:05}") for i in range(9000)) and [len(r["roles"]) for r in one] == [4096, 4096, 808]
+    # copies of one row are parted too
+    assert sorted(len(r["roles"]) for r in raw if r["conv_id"] is None) == [1808, 4096, 4096]
