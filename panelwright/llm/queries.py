@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, embedding_dedup, fingerprints, langid, licenses, line_dedup, mixing, packing, simhash, toxicity
+from panelwright.llm import chat, embedding_dedup, exact_dedup, fim, fingerprints, importance, langid, licenses, line_dedup, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op11_fim")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op12_importance_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_exact_dedup", exact_dedup.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
