@@ -63,6 +63,19 @@ def tolerant_records(spark, sf):
         F.md5("payload").alias("payload_md5"), "label")
 
 
+@plan("a5_record_files", """
+SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part""")
+def record_files(spark, sf):
+    """Parts written as sharded record files, then read back through the record-file data source."""
+    from panelwright.sources import records
+
+    parts = src.scan(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size", F.format_number("p_retailprice", 2).alias("price"))
+    path = records.write_records(parts, scratch_path(spark, "records"))
+    back = records.read_records(spark, path, "p_partkey long, p_name string, p_brand string, p_size long, price string, _corrupt string")
+    return back.where(F.col("_corrupt").isNull()).select(
+        "p_partkey", "p_name", "p_brand", "p_size", F.regexp_replace("price", ",", "").cast("double").alias("p_retailprice"))
+
+
 @plan("a6_training_batches", """
 WITH r AS (
   SELECT vec_id, label, row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(vec_id AS VARCHAR))), vec_id) - 1 AS p,
