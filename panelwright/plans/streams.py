@@ -71,3 +71,19 @@ def online_lags(spark, sf):
     stream = event_stream(spark, sf, max_bytes=256 << 20).select("user_id", "event_id", "ts", "value")
     late = S.source_lateness(scan(spark, sf, "events").withColumn("ts", S.event_time("ts")), "ts")
     return S.run_online_lags(stream, "user_id", "ts", "event_id", "value", 3, f"{late + 1} seconds")
+
+
+@plan("o4_timer_lags", """
+SELECT user_id, event_id, value, lag(value, 1) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2, lag(value, 3) OVER w AS value_lag_3
+FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def timer_lags(spark, sf):
+    """O4 by list and map state with event-time timers; rows Spark would drop as late make it raise."""
+    from panelwright.streaming.timers import run_timer_lags
+
+    stream = event_stream(spark, sf, max_bytes=256 << 20).select("user_id", "event_id", "ts", "value")
+    late = S.source_lateness(scan(spark, sf, "events").withColumn("ts", S.event_time("ts")), "ts")
+    table, dropped = run_timer_lags(stream, "user_id", "ts", "event_id", "value", 3, f"{late + 1} seconds")
+    if dropped:
+        raise ValueError(f"{dropped} rows came later than the delay allows")
+    return table.where(~F.col("late")).drop("late")
+
