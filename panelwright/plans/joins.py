@@ -129,3 +129,31 @@ def knn(spark, sf):
     df = scan(spark, sf, "embeddings")
     out = nearest_neighbors(df, df, "vec_id", "embedding", 3, exclude_self=True)
     return out.withColumn("distance", rounded("distance", 6))
+
+
+OPEN_SPANS_SQL = """
+WITH spans AS (
+  SELECT o_orderkey AS span_key, o_orderdate AS opened, max(l_shipdate) AS closed, o_totalprice AS span_value
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate, o_totalprice),
+pairs AS (
+  SELECT o.o_orderkey, sp.span_value FROM orders o JOIN spans sp
+  ON o.o_orderdate BETWEEN sp.opened AND sp.closed AND sp.span_key <> o.o_orderkey)
+SELECT o.o_orderkey, CAST(count(p.o_orderkey) AS BIGINT) AS n_open, round(coalesce(sum(p.span_value), 0), 2) + 0.0 AS open_value
+FROM orders o LEFT JOIN pairs p USING (o_orderkey) GROUP BY o.o_orderkey"""
+
+
+@plan("g12_interval_join", OPEN_SPANS_SQL)
+def open_orders_at_placement(spark, sf):
+    """For each order, the other orders open (placed, not yet fully shipped) on its order date, by a bucketed range join."""
+    from panelwright.operators.intervals import interval_join
+
+    orders = scan(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    last_ship = scan(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closed"))
+    spans = orders.join(last_ship, orders.o_orderkey == last_ship.l_orderkey).select(
+        F.col("o_orderkey").alias("span_key"), F.col("o_orderdate").alias("opened"), "closed", F.col("o_totalprice").alias("span_value"))
+    pairs = interval_join(orders.select("o_orderkey", "o_orderdate"), spans, "o_orderdate", "opened", "closed", 7 * 86400)
+    counts = pairs.where(F.col("span_key") != F.col("o_orderkey")).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_open"), F.sum("span_value").alias("open_value"))
+    return orders.select("o_orderkey").join(counts, "o_orderkey", "left").select(
+        "o_orderkey", F.coalesce("n_open", F.lit(0)).cast("long").alias("n_open"), rounded(F.coalesce("open_value", F.lit(0.0)), 2).alias("open_value"))
+

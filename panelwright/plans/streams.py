@@ -87,3 +87,26 @@ def timer_lags(spark, sf):
         raise ValueError(f"{dropped} rows came later than the delay allows")
     return table.where(~F.col("late")).drop("late")
 
+
+SESSIONS_SQL = """
+WITH e AS (
+  SELECT user_id, ts, value,
+         CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+  FROM events WHERE ts IS NOT NULL),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+       strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end,
+       CAST(count(*) AS BIGINT) AS n_events, round(sum(value), 6) + 0.0 AS total_value
+FROM g GROUP BY user_id, sid"""
+
+
+@plan("o5_event_sessions", SESSIONS_SQL)
+def event_sessions(spark, sf):
+    """Per-user sessions of events, merged while gaps stay under 30 minutes."""
+    from panelwright.operators.intervals import sessions
+
+    found = sessions(scan(spark, sf, "events").withColumn("ts", S.event_time("ts")), "user_id", "ts", "30 minutes", "value")
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return found.select("user_id", S.utc_text("session_start", stamp).alias("session_start"), S.utc_text("session_end", stamp).alias("session_end"),
+                        "n_events", rounded("total_value", 6).alias("total_value"))
+
