@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwright.llm.bytescan import slices
 from panelwright.llm.ranges import long_table, range_of
 from panelwright.sources.scratch import scratch_path
 
@@ -97,16 +98,26 @@ def with_tokens(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            # slices of bounded text bytes, so that a batch of long texts never stands whole in Python
+            for lo, hi in slices(batch.column(2)):
+                part = batch.slice(lo, hi - lo)
                 ids = [token_ids(t or "", folder) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(curve_keys(ids)), pa.array([len(i) for i in ids], pa.int64()),
                                                   pa.array([i.tobytes() for i in ids], pa.binary())], ["doc_id", "mark", "curve", "n", "ids"])
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, mark long, curve long, n long, ids binary")
 
 
+def _binary_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column and each row's offset in them, without copying."""
+    wide = pa.types.is_large_binary(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = column.buffers()[2]
+    return (np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)), offsets
+
+
 def _position() -> Column:
     """The curve key with 32 bits of the id's hash below it, so that documents of one curve point can be parted."""
     return F.shiftleft("curve", 32).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id", "mark"), 32))
@@ -173,8 +184,10 @@ def pack(docs: DataFrame, length: int = LENGTH, folder: str | None = None) -> Da
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, n, ids, begin in zip(*(c.to_pylist() for c in batch.columns)):
-                wide, start = np.frombuffer(ids, "<u2").astype("<u4"), 0
+            # ids are read in place from the Arrow buffers; only the small columns become Python numbers
+            data, offsets = _binary_buffers(batch.column(2))
+            for row, (doc_id, n, begin) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist())):
+                wide, start = data[offsets[row]:offsets[row + 1]].view("<u2").astype("<u4"), 0
                 while start < n:
                     place = begin + start
                     if place < tail:
@@ -186,6 +199,7 @@ def pack(docs: DataFrame, length: int = LENGTH, folder: str | None = None) -> Da
                     out.append((doc_id, start, take, zlib.crc32(wide[start : start + take].tobytes()), n, number, place - first, size))
                     start += take
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] or [pa.array([], pa.int64())] * 8, names)
+        pa.default_memory_pool().release_unused()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length"]
     return laid.select("doc_id", "n", "ids", at.alias("begin")).mapInArrow(cut, ", ".join(f"{c} long" for c in names))
