@@ -191,10 +191,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataF
 
 
 def keep_first(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each group: that with the smallest doc_id, once if rows share it.
+    """One row of each SimHash group: that with the smallest doc_id (null last), then text hash, then first read.
 
-    Rows without a doc_id cannot be named by a group and stay. Extra columns are carried along.
+    Groups are found between rows, not ids, so rows that share a doc_id but
+    not a text keep their own groups. ``docs`` should read a table, so that
+    row numbers are the same when a lost task is run again. Extra columns are
+    carried along; an empty table gives no rows.
     """
-    found = near_duplicates(docs, words, max_bits)
-    kept = materialize(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    marked = docs.withColumn("_simhash_row", F.monotonically_increasing_id())
+    found = near_duplicates(marked.select(F.col("_simhash_row").alias("doc_id"), "text"), words, max_bits)
+    facts = marked.select(F.col("_simhash_row").alias("doc_id"), F.col("doc_id").cast("long").alias("_orig"), F.xxhash64("text").alias("_mark"))
+    first = F.min(F.struct(F.col("_orig").isNull().alias("a"), F.col("_orig").alias("b"), F.col("_mark").alias("c"), F.col("doc_id").alias("d")))
+    chosen = materialize(found.join(facts, "doc_id").groupBy("component_id").agg(first.alias("_first"))
+                         .select(F.col("_first.d").alias("_simhash_row")), "simhash-kept")
+    return marked.join(chosen, "_simhash_row", "left_semi").drop("_simhash_row")
