@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelwright.llm.bytescan import slices
 from panelwright.sources.scratch import materialize
 
 BUCKETS = 10_000
@@ -70,57 +71,78 @@ def _words(lowered: str) -> list[str]:
     return [w for w in lowered.translate({ord(d): " " for d in _DELIMITER}).split(" ") if w]
 
 
-def _payload_streams(texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(crc, byte length) of each text's words in order, by one automaton over the batch's distinct words."""
+def _batch_payloads(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(crc, byte length, text index) of every word of the texts in order, by one automaton scan of the batch.
+
+    The dictionary holds the batch's distinct words; the texts are joined by a
+    delimiter, so no match crosses from one text into the next.
+    """
     lowered = [(t or "").translate(_UPPER) for t in texts]
-    vocab: dict[str, int] = {}
-    for text in lowered:
-        for w in _words(text):
-            vocab.setdefault(w, len(vocab))
+    joined = "\x00".join(lowered)
+    vocab = dict.fromkeys(_words(joined))
     if not vocab:
-        return [(np.zeros(0, np.uint32), np.zeros(0, np.int64)) for _ in texts]
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     crcs = np.zeros(len(vocab), np.uint32)
     lens = np.zeros(len(vocab), np.int64)
     automaton = ahocorasick.Automaton()
-    for w, i in vocab.items():
+    for i, w in enumerate(vocab):
         raw = w.encode("utf-8")
         crcs[i], lens[i] = zlib.crc32(raw), len(raw)
         automaton.add_word(w, i)
     automaton.make_automaton()
-    streams = []
-    for text in lowered:
-        ids = np.fromiter((i for _, i in automaton.iter_long(text)), np.int64)
-        streams.append((crcs[ids], lens[ids]))
-    return streams
+    found = np.fromiter((x for match in automaton.iter_long(joined) for x in match), np.int64).reshape(-1, 2)
+    starts = np.cumsum([0] + [len(t) + 1 for t in lowered[:-1]])
+    owner = np.searchsorted(starts, found[:, 0], "right") - 1
+    return crcs[found[:, 1]], lens[found[:, 1]], owner
 
 
-def feature_crcs(crcs: np.ndarray, lens: np.ndarray, max_gram: int = MAX_GRAM) -> np.ndarray:
-    """CRC-32 of every run of 1 to ``max_gram`` words joined by one space, repeats kept."""
-    out, run, run_len = [crcs], crcs, lens
+def _payload_streams(texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(crc, byte length) of each text's words in order."""
+    crcs, lens, owner = _batch_payloads(texts)
+    cuts = np.searchsorted(owner, np.arange(len(texts) + 1), "left")
+    return [(crcs[a:b], lens[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def batch_features(crcs: np.ndarray, lens: np.ndarray, owner: np.ndarray, max_gram: int = MAX_GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """CRC-32 and text index of every run of 1 to ``max_gram`` words of one text, over a whole batch at once."""
+    out, owners, run = [crcs], [owner], crcs
     for g in range(2, max_gram + 1):
         if len(crcs) < g:
             break
         spaced = combine(run[:-1], np.full(len(run) - 1, _SPACE_CRC, np.uint32), np.ones(len(run) - 1, np.int64))
         run = combine(spaced, crcs[g - 1:], lens[g - 1:])
-        run_len = run_len[:-1] + 1 + lens[g - 1:]
-        out.append(run)
-    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+        inside = owner[g - 1:] == owner[:len(owner) - g + 1]
+        out.append(run[inside])
+        owners.append(owner[:len(owner) - g + 1][inside])
+        # runs that cross texts are dropped only after the next word is added, so ``run`` keeps its full length
+    return np.concatenate(out), np.concatenate(owners)
+
+
+def feature_crcs(crcs: np.ndarray, lens: np.ndarray, max_gram: int = MAX_GRAM) -> np.ndarray:
+    """CRC-32 of every run of 1 to ``max_gram`` words joined by one space, repeats kept."""
+    return batch_features(crcs, lens, np.zeros(len(crcs), np.int64), max_gram)[0]
 
 
 def buckets_of(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
     """Buckets of a single text's features (for tests and small uses)."""
-    crcs, lens = _payload_streams([text])[0]
+    crcs, lens, _ = _batch_payloads([text])
     return (feature_crcs(crcs, lens) % np.uint32(buckets)).astype(np.int64)
 
 
+def _slices(column: pa.Array) -> Iterator[list]:
+    for lo, hi in slices(column):
+        yield column.slice(lo, hi - lo).to_pylist()
+
+
 def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, n): features of all texts per bucket, summed in each batch before the shuffle."""
+    """(bucket, n): features of all texts per bucket, summed in each task before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for crcs, lens in _payload_streams(batch.column(0).to_pylist()):
-                total += np.bincount(feature_crcs(crcs, lens) % np.uint32(buckets), minlength=buckets)
+            for part in _slices(batch.column(0)):
+                feats, _ = batch_features(*_batch_payloads(part))
+                total += np.bincount(feats % np.uint32(buckets), minlength=buckets)
         nonzero = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(nonzero, pa.int64()), pa.array(total[nonzero], pa.int64())], ["bucket", "n"])
 
@@ -151,15 +173,18 @@ def weigh(docs: DataFrame, gain: list[float], buckets: int = BUCKETS) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, features, weights = [], [], []
-            for crcs, lens in _payload_streams(batch.column(1).to_pylist()):
-                b = (feature_crcs(crcs, lens) % np.uint32(buckets)).astype(np.int64)
-                words.append(len(crcs))
-                features.append(len(b))
-                weights.append(int(table[b].sum()) if len(b) else 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.int64()), pa.array(features, pa.int64()), pa.array(weights, pa.int64())],
-                ["doc_id", "n_words", "n_features", "weight"])
+            for lo, hi in slices(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                n = part.num_rows
+                crcs, lens, owner = _batch_payloads(part.column(1).to_pylist())
+                feats, at = batch_features(crcs, lens, owner)
+                b = (feats % np.uint32(buckets)).astype(np.int64)
+                words = np.bincount(owner, minlength=n)
+                features = np.bincount(at, minlength=n)
+                weights = np.bincount(at, weights=table[b], minlength=n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(words, pa.int64()), pa.array(features, pa.int64()), pa.array(np.rint(weights).astype(np.int64), pa.int64())],
+                    ["doc_id", "n_words", "n_features", "weight"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_words long, n_features long, weight long")
