@@ -150,13 +150,17 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             .groupBy("bucket").agg(F.sum("n").alias("n")))
 
 
-def gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """floor(1000 ln((t+1)(S+B) / ((s+1)(T+B)))) of every bucket, as doubles; at most ``buckets`` numbers."""
+def gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, features: DataFrame | None = None) -> list[float]:
+    """floor(1000 ln((t+1)(S+B) / ((s+1)(T+B)))) of every bucket, as doubles; at most ``buckets`` numbers.
+
+    ``features`` (from ``featurize`` of ``docs``) spares a second scan of the documents.
+    """
     spark = docs.sparkSession
     ids = spark.range(buckets).withColumnRenamed("id", "bucket")
-    s = bucket_counts(docs, buckets).withColumnRenamed("n", "s")
+    s = (bucket_counts(docs, buckets) if features is None else stored_counts(features, buckets)).withColumnRenamed("n", "s")
     t = bucket_counts(target, buckets).withColumnRenamed("n", "t")
-    table = ids.join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"])
+    # at most ``buckets`` rows, written once so that the totals and the gains read the same counts
+    table = materialize(ids.join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"]), "importance-counts")
     totals = table.agg(F.sum("s").cast("double").alias("s_all"), F.sum("t").cast("double").alias("t_all"))
     d = lambda name: F.col(name).cast("double")
     ratio = ((d("t") + 1) * (d("s_all") + buckets)) / ((d("s") + 1) * (d("t_all") + buckets))
@@ -167,9 +171,9 @@ def gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[fl
     return out
 
 
-def weigh(docs: DataFrame, gain: list[float], buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, n_words, n_features, weight (sum of the gains of a text's features; none: 0)."""
-    table = np.asarray(gain, np.float64)
+def featurize(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, n_words, and the bucket of every feature of the text as little-endian 16-bit numbers; one automaton scan."""
+    assert buckets <= 1 << 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,16 +182,52 @@ def weigh(docs: DataFrame, gain: list[float], buckets: int = BUCKETS) -> DataFra
                 n = part.num_rows
                 crcs, lens, owner = _batch_payloads(part.column(1).to_pylist())
                 feats, at = batch_features(crcs, lens, owner)
-                b = (feats % np.uint32(buckets)).astype(np.int64)
-                words = np.bincount(owner, minlength=n)
-                features = np.bincount(at, minlength=n)
-                weights = np.bincount(at, weights=table[b], minlength=n)
+                order = np.argsort(at, kind="stable")
+                b = (feats[order] % np.uint32(buckets)).astype("<u2")
+                cuts = np.searchsorted(at[order], np.arange(n + 1), "left")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(words, pa.int64()), pa.array(features, pa.int64()), pa.array(np.rint(weights).astype(np.int64), pa.int64())],
-                    ["doc_id", "n_words", "n_features", "weight"])
+                    [part.column(0), pa.array(np.bincount(owner, minlength=n), pa.int64()),
+                     pa.array([b[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())], ["doc_id", "n_words", "buckets"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_words long, buckets binary")
+
+
+def stored_counts(features: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n) from the stored buckets of ``featurize``, summed in each task before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            raw = batch.column(0).buffers()[2]
+            if raw is not None:
+                offsets = np.frombuffer(batch.column(0).buffers()[1], np.int32)[batch.column(0).offset:batch.column(0).offset + batch.num_rows + 1]
+                data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]]
+                total += np.bincount(data.view("<u2"), minlength=buckets)
+        nonzero = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(nonzero, pa.int64()), pa.array(total[nonzero], pa.int64())], ["bucket", "n"])
+
+    return features.select("buckets").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def weigh(features: DataFrame, gain: list[float]) -> DataFrame:
+    """doc_id, n_words, n_features, weight (sum of the gains of a text's features; none: 0) from ``featurize``."""
+    table = np.asarray(gain, np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + batch.num_rows + 1].astype(np.int64)
+            raw = column.buffers()[2]
+            data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+            counts = (offsets[1:] - offsets[:-1]) // 2
+            b = data[offsets[0]:offsets[-1]].view("<u2").astype(np.int64)
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            weights = np.bincount(owner, weights=table[b], minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(np.rint(weights).astype(np.int64), pa.int64())],
+                ["doc_id", "n_words", "n_features", "weight"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_words long, n_features long, weight long")
+    return features.select("doc_id", "n_words", "buckets").mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
 
 def gumbel(doc_id: Column) -> Column:
@@ -228,8 +268,9 @@ def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, percent
     alike and take consecutive ranks. An empty table gives no rows (an empty
     target counts as T = 0). Other columns are ignored.
     """
-    gain = gains(docs, target, buckets)
-    weighed = materialize(weigh(docs, gain, buckets), "importance-weights")
+    features = materialize(featurize(docs, buckets), "importance-features")
+    gain = gains(docs, target, buckets, features)
+    weighed = materialize(weigh(features, gain), "importance-weights")
     scored = weighed.select("doc_id", "n_words", "n_features", "weight", (F.col("weight") + gumbel(F.col("doc_id"))).cast("long").alias("score"))
     ranked = rank_top(scored, F.col("n_words") >= min_words, percent)
     return ranked.select("doc_id", "n_features", "weight", "score", "rank")
