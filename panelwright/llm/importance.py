@@ -239,9 +239,11 @@ def gumbel(doc_id: Column) -> Column:
 def rank_top(scored: DataFrame, eligible: Column, percent: int) -> DataFrame:
     """Adds ``rank`` (1, 2, ... by score descending, then doc_id, nulls last) for the first floor(percent N / 100) eligible rows.
 
-    Range partitions of the sort key are counted, the counts summed over the
-    (few) partitions, and a row's rank is the rows of the partitions before it
-    plus its place in its own: no task sees more than its range.
+    The rows are cut into range partitions of the sort key and written once with
+    their partition and place, as a second run of the cut may draw other bounds.
+    Partitions are counted, the counts summed over the (few) partitions, and a
+    row's rank is the rows of the partitions before it plus its place in its own:
+    no task sees more than its range.
     """
     flagged = scored.withColumn("_eligible", eligible)
     n = flagged.where("_eligible").count()
@@ -249,7 +251,7 @@ def rank_top(scored: DataFrame, eligible: Column, percent: int) -> DataFrame:
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     ranged = flagged.where("_eligible").repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("_id", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND((1 << 33) - 1))
+    ranged = materialize(ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND((1 << 33) - 1)), "importance-ranges")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_below"))
     rank = F.col("_below") + F.col("_pos") + 1

@@ -7,6 +7,7 @@ import numpy as np
 from conftest import SF
 
 from panelwright.llm import importance
+from panelwright.sources.scratch import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UP = {c: c + 32 for c in range(65, 91)}
@@ -66,3 +67,21 @@ def test_messy_rows(spark, messy, messy_rows):
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "text string")
     assert importance.resample(empty, bench).count() == 0
+
+
+def test_ranks_over_many_range_partitions(spark):
+    """More rows than the range cut samples or one partition holds: each row comes out once, with its place."""
+    n = 300_000
+    scored = materialize(spark.range(n).repartition(12).selectExpr(
+        "id doc_id", "if(id % 10 = 0, 5L, 30L) n_words", "xxhash64(id) n_features", "xxhash64(id, 1) weight", "cast(hash(id) % 50000 as bigint) score"), "scored")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = importance.rank_top(scored, scored.n_words >= 20, 5).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = [(r.doc_id, r.score) for r in scored.where("n_words >= 20").collect()]
+    k = 5 * len(rows) // 100
+    want = {doc: i + 1 for i, (doc, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0]))[:k])}
+    assert len(got) == n and len({r.doc_id for r in got}) == n
+    assert {r.doc_id: r.rank for r in got if r.rank is not None} == want
