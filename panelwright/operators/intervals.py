@@ -9,27 +9,37 @@ residual condition, and every matching pair meets in exactly one bucket. A
 very long interval lands on a high level instead of being copied to many
 buckets; a crowded bucket is a skewed join partition, which adaptive execution
 splits (the other side's rows of that bucket are copied to each split).
+With ``totals`` no pairs are made: in each bucket the intervals are added up in
+time order, so that the work grows with the rows and not with the pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwright.operators.scale import running_totals
+from panelwright.sources.scratch import materialize
+
 
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, width_seconds: int,
-                  keys: Sequence[str] = ()) -> DataFrame:
+                  keys: Sequence[str] = (), totals: Mapping[str, Column] | None = None) -> DataFrame:
     """Pairs of a point and an interval with ``start <= at <= end`` (and equal ``keys``).
 
     Columns of both sides are kept (they must not share names other than
     ``keys``). Points or intervals with a null time, and intervals that end
     before they start, match nothing. ``width_seconds`` sets the finest bucket; levels are added up
     to the longest interval found in the data.
+
+    ``totals`` names sums over the intervals that a point lies in; the result is
+    then one row per distinct (``keys``, ``at``) of the points with these sums.
+    Their columns must be integers or decimals, as sums are added and taken off
+    again; a null adds nothing.
     """
     width = width_seconds * 1_000_000
     iv = intervals.withColumn("_s", _micros(F.col(start))).withColumn("_e", _micros(F.col(end)))
@@ -46,10 +56,35 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
     copies = pts.where(F.col("_p").isNotNull()).withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
     copies = copies.withColumn("_bucket", F.floor(F.col("_p") / (F.lit(width) * F.pow(F.lit(2), F.col("_level")).cast("long"))))
     on = [*keys, "_level", "_bucket"]
+    if totals is not None:
+        return _totals(copies, placed, at, size, keys, on, totals)
     joined = copies.alias("p").join(placed.alias("i"), on, "inner").where((F.col("i._s") <= F.col("p._p")) & (F.col("p._p") <= F.col("i._e")))
     return joined.drop("_level", "_bucket", "_p", "_s", "_e")
 
 
+def _totals(copies: DataFrame, placed: DataFrame, at: str, size: Column, keys: Sequence[str], cell: Sequence[str],
+            totals: Mapping[str, Column]) -> DataFrame:
+    """Sums of the intervals around each point: they start and end as marks on the time line of their bucket."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    values = placed.select(*cell, "_s", "_e", *[F.coalesce(c, F.lit(0)).alias(name) for name, c in totals.items()])
+    at_type = copies.schema[at].dataType
+    none = F.lit(None).cast(at_type).alias("_at")
+    first = F.greatest("_s", F.col("_bucket") * size)
+    opens = values.select(*cell, first.alias("_t"), none, *totals)
+    closes = values.where(F.col("_e") + 1 < (F.col("_bucket") + 1) * size).select(
+        *cell, (F.col("_e") + 1).alias("_t"), none, *[(-F.col(name)).alias(name) for name in totals])
+    types = {f.name: f.dataType for f in values.schema.fields}
+    marks = copies.select(*cell, F.col("_p").alias("_t"), F.col(at).alias("_at"), *[F.lit(0).cast(types[name]).alias(name) for name in totals])
+    line = opens.unionByName(closes).unionByName(marks).where(known).groupBy(*cell, "_t").agg(
+        F.max("_at").alias("_at"), *[F.sum(name).alias(name) for name in totals])
+    # at most one row per bucket and time, written once as the running sums read it several times
+    running = running_totals(materialize(line, "interval-marks"), "_t", list(totals), cell)
+    return running.where(F.col("_at").isNotNull()).groupBy(*keys, F.col("_at").alias(at)).agg(
+        *[F.sum(f"cum_{name}").alias(name) for name in totals])
+
+
 def sessions(events: DataFrame, key: str, time: str, gap: str, value: str) -> DataFrame:
     """key, session_start, session_end (last event plus the gap), n_events, total_value: gap-merged sessions.
 

@@ -151,9 +151,18 @@ def open_orders_at_placement(spark, sf):
     last_ship = scan(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closed"))
     spans = orders.join(last_ship, orders.o_orderkey == last_ship.l_orderkey).select(
         F.col("o_orderkey").alias("span_key"), F.col("o_orderdate").alias("opened"), "closed", F.col("o_totalprice").alias("span_value"))
-    pairs = interval_join(orders.select("o_orderkey", "o_orderdate"), spans, "o_orderdate", "opened", "closed", 7 * 86400)
-    counts = pairs.where(F.col("span_key") != F.col("o_orderkey")).groupBy("o_orderkey").agg(
-        F.count(F.lit(1)).alias("n_open"), F.sum("span_value").alias("open_value"))
-    return orders.select("o_orderkey").join(counts, "o_orderkey", "left").select(
+    value = F.col("span_value")
+    finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value).cast("decimal(28,9)")
+    parts = {"n_open": F.lit(1).cast("long"), "finite": finite, **{name: F.when(value == F.lit(float(name)), 1).otherwise(0).cast("long") for name in ("nan", "inf", "-inf")}}
+    placed = orders.select("o_orderkey", "o_orderdate").where(F.col("o_orderkey").isNotNull())
+    around = interval_join(placed, spans, "o_orderdate", "opened", "closed", 7 * 86400, totals=parts)
+    everyone = placed.join(around, "o_orderdate").select("o_orderkey", *parts)
+    # an order is open on its own date: its own spans are taken off again
+    own = placed.join(spans, (F.col("o_orderkey") == F.col("span_key")) & F.col("o_orderdate").between(F.col("opened"), F.col("closed")))
+    own = own.select("o_orderkey", *[(-F.coalesce(c, F.lit(0))).alias(name) for name, c in parts.items()])
+    counts = everyone.unionByName(own).groupBy("o_orderkey").agg(*[F.sum(name).alias(name) for name in parts])
+    up, down = F.col("`inf`") > 0, F.col("`-inf`") > 0
+    total = F.when((F.col("nan") > 0) | (up & down), F.lit(float("nan"))).when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf"))).otherwise(F.col("finite").cast("double"))
+    return orders.select("o_orderkey").join(counts.withColumn("open_value", total), "o_orderkey", "left").select(
         "o_orderkey", F.coalesce("n_open", F.lit(0)).cast("long").alias("n_open"), rounded(F.coalesce("open_value", F.lit(0.0)), 2).alias("open_value"))
 
