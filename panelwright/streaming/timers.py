@@ -2,16 +2,18 @@
 
 Per key the state holds
 
-* ``past``: a list of the last ``lags`` emitted values,
-* ``upto``: the (time, order) of the last emitted row,
-* ``waiting``: a map from event-time millisecond to the rows of that
-  millisecond that wait for the watermark,
-
-and one timer per waiting millisecond. A micro-batch appends its rows to their
-millisecond's entry only; when the watermark passes a millisecond its timer
-fires, and only that entry is read, sorted, emitted and removed. No batch reads
-or rewrites the whole state of a key, so a key with many waiting rows costs
-time in proportion to the rows that arrive and leave.
+* ``emitted``: the (time, order) of the last emitted row and the last ``lags``
+  emitted values,
+* ``waiting``: a map from (first millisecond, number) to a block of at most
+  ``BLOCK`` rows in time order that wait for the watermark,
+* ``pending``: the number of the next block and the time of the key's timer,
+
+and one timer, at the first waiting row. A micro-batch writes its rows of a key
+as new blocks. When the watermark passes the timer, only the blocks that begin
+before the watermark are read, merged in time order and emitted; the rest of a
+block that the watermark cuts is written back. No batch reads or rewrites the
+whole state of a key, calls to the store go by block and not by row, and a
+merge holds only the blocks that overlap in time.
 
 A row whose (time, order) is not after the last emitted row of its key is late:
 its lags can no longer be right, so it comes out once with ``late`` set and no
@@ -33,6 +35,8 @@ from panelwright.sources.scratch import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 FAR_FUTURE = "2261-01-01 00:00:00"  # the latest year that pandas holds in nanoseconds
+BLOCK = 512  # rows of a waiting block: bounds what is written back when the watermark cuts it
+EMIT = 8192  # rows gathered before a frame is emitted
 MICROS = "event_micros"  # the time column as the processor sees it (names with a leading underscore do not reach it)
 
 
@@ -45,9 +49,9 @@ class LagProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getListState("past", "v double")
-        self.upto = handle.getValueState("upto", f"micros long, id {self.order_type}")
-        self.waiting = handle.getMapState("waiting", "ms long",
+        self.emitted = handle.getValueState("emitted", f"micros long, id {self.order_type}, past array<double>")
+        self.pending = handle.getValueState("pending", "number long, timer long")
+        self.waiting = handle.getMapState("waiting", "ms long, number long",
                                           f"micros array<long>, ids array<{self.order_type}>, vals array<double>")
 
     def _frame(self, key, ids, values, lags, late: bool) -> pd.DataFrame:
@@ -58,42 +62,79 @@ class LagProcessor(StatefulProcessor):
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        upto = self.upto.get() if self.upto.exists() else None
-        late_ids, late_values = [], []
+        emitted = self.emitted.get()
+        late_ids, late_values, fresh = [], [], []
         for batch in rows:
             micros, ids, values = batch[MICROS].tolist(), batch[self.order].tolist(), batch[self.value].astype(float).tolist()
-            if upto is not None:
-                behind = [(m, i) <= tuple(upto) for m, i in zip(micros, ids)]
-                late_ids += [i for i, b in zip(ids, behind) if b]
-                late_values += [v for v, b in zip(values, behind) if b]
-                keep = [not b for b in behind]
-                micros, ids, values = ([x for x, k in zip(col, keep) if k] for col in (micros, ids, values))
-            by_ms: dict[int, list] = {}
             for m, i, v in zip(micros, ids, values):
-                by_ms.setdefault(m // 1000, []).append((m, i, v))
-            for ms, entries in by_ms.items():
-                before = self.waiting.getValue((ms,))
-                if before is None:
-                    self.handle.registerTimer(ms + 1)
-                    before = ([], [], [])
-                self.waiting.updateValue((ms,), (list(before[0]) + [e[0] for e in entries], list(before[1]) + [e[1] for e in entries],
-                                                 list(before[2]) + [e[2] for e in entries]))
+                if emitted is not None and (m, i) <= (emitted[0], emitted[1]):
+                    late_ids.append(i)
+                    late_values.append(v)
+                else:
+                    fresh.append((m, i, v))
+        if fresh:
+            number, timer = self.pending.get() or (0, None)
+            fresh.sort(key=lambda r: r[0])
+            number = self._wait(fresh, number)
+            self._set_timer(number, timer, fresh[0][0] // 1000 + 1)
         if late_ids:
             yield self._frame(key[0], late_ids, late_values, np.full((len(late_ids), self.lags), np.nan), True)
 
+    def _wait(self, rows: list, number: int) -> int:
+        """Writes rows in time order as new blocks; returns the next block's number."""
+        for lo in range(0, len(rows), BLOCK):
+            micros, ids, values = zip(*rows[lo:lo + BLOCK])
+            self.waiting.updateValue((micros[0] // 1000, number), (list(micros), list(ids), list(values)))
+            number += 1
+        return number
+
+    def _set_timer(self, number: int, timer: int | None, wanted: int) -> None:
+        """Leaves the key one timer: the earlier of the set and the wanted one."""
+        if timer is None or wanted < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(wanted)
+            timer = wanted
+        self.pending.update((number, timer))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ms = expiredTimerInfo.getExpiryTimeInMs() - 1
-        entry = self.waiting.getValue((ms,))
-        if entry is None:
-            return
-        self.waiting.removeKey((ms,))
-        ready = sorted(zip(entry[0], entry[1], entry[2]), key=lambda r: (r[0], r[1]))
-        past = [v[0] for v in self.past.get()] if self.past.exists() else []
-        seq = np.array([np.nan] * (self.lags - len(past)) + past + [r[2] for r in ready], dtype=float)
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        blocks = sorted(tuple(k) for k in self.waiting.keys())
+        ready = [b for b in blocks if b[0] < passed]
+        number = self.pending.get()[0]
+        held, done, rest = [], [], []
+        for at, block in enumerate(ready):
+            rows = list(zip(*self.waiting.getValue(block)))
+            held += [r for r in rows if r[0] // 1000 < passed]
+            rest += [r for r in rows if r[0] // 1000 >= passed]
+            self.waiting.removeKey(block)
+            # no later block holds a row before its first millisecond
+            limit = ready[at + 1][0] if at + 1 < len(ready) else passed
+            held.sort(key=lambda r: (r[0], r[1]))
+            cut = next((k for k, r in enumerate(held) if r[0] // 1000 >= limit), len(held))
+            done, held = done + held[:cut], held[cut:]
+            if len(done) >= EMIT:
+                yield self._emit(key[0], done)
+                done = []
+        if done:
+            yield self._emit(key[0], done)
+        first = [b[0] for b in blocks[len(ready):]]
+        if rest:
+            rest.sort(key=lambda r: r[0])
+            number = self._wait(rest, number)
+            first.append(rest[0][0] // 1000)
+        if first:
+            self._set_timer(number, None, min(first) + 1)
+        else:
+            self.pending.update((number, None))
+
+    def _emit(self, key, rows: list) -> pd.DataFrame:
+        emitted = self.emitted.get()
+        past = list(emitted[2]) if emitted is not None else []
+        seq = np.array([np.nan] * (self.lags - len(past)) + past + [r[2] for r in rows], dtype=float)
         lags = np.stack([seq[self.lags - k:len(seq) - k] for k in range(1, self.lags + 1)], axis=1)
-        self.past.put([(v,) for v in seq[-self.lags:].tolist()])
-        self.upto.update((ready[-1][0], ready[-1][1]))
-        yield self._frame(key[0], [r[1] for r in ready], [r[2] for r in ready], lags, False)
+        self.emitted.update((rows[-1][0], rows[-1][1], seq[len(seq) - self.lags:].tolist()))
+        return self._frame(key, [r[1] for r in rows], [r[2] for r in rows], lags, False)
 
     def close(self) -> None:
         pass
@@ -120,7 +161,7 @@ def run_timer_lags(events: DataFrame, key: str, time: str, order: str, value: st
     are counted instead.
 
     A second run on the same checkpoint adds one row far in the future, whose
-    watermark fires every waiting timer. The state store is RocksDB, which the
+    watermark fires every key's timer. The state store is RocksDB, which the
     timers need; the session's setting is restored afterwards.
     """
     spark = events.sparkSession

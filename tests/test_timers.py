@@ -4,6 +4,7 @@ import random
 import tempfile
 
 import oracle_check
+import pandas as pd
 
 from panelwright.plans.catalogue import load
 from panelwright.streaming import timers
@@ -61,6 +62,96 @@ def test_rows_behind_their_key_are_listed_or_counted(spark):
     assert dropped + table.where("late").count() == 1
 
 
+class Calls:
+    """State and timers of one key that count the calls to them."""
+
+    def __init__(self):
+        self.calls, self.stores, self.timers = 0, {}, set()
+
+    def store(self, name, *_):
+        return self.stores.setdefault(name, Store(self))
+
+    getValueState = getMapState = getListState = store
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.calls += 1
+        self.timers.remove(ms)
+
+
+class Store:
+    def __init__(self, owner):
+        self.owner, self.value, self.map, self.largest = owner, None, {}, 0
+
+    def __getattribute__(self, name):
+        if name in ("get", "update", "getValue", "updateValue", "removeKey", "keys", "exists", "put"):
+            self.owner.calls += 1
+        return object.__getattribute__(self, name)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+    def keys(self):
+        return list(self.map)
+
+    def getValue(self, key):
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.map.pop(key)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_state_calls_grow_with_blocks_and_not_with_rows(monkeypatch):
+    """Overlapping batches of one key under a creeping watermark: right lags, few calls, one timer."""
+    monkeypatch.setattr(timers, "EMIT", 700)
+    handle, rng, rows, out = Calls(), random.Random(3), [], []
+    processor = timers.LagProcessor("user_id", "event_id", "value", 3, "bigint")
+    processor.init(handle)
+
+    def fire(ms):
+        for expiry in sorted(t for t in handle.timers if t <= ms):
+            handle.timers.discard(expiry)
+            out.extend(processor.handleExpiredTimer((1,), Clock(ms), Clock(expiry)))
+
+    for step in range(6):
+        new = [(1, 1000 * step + i, 20_000 * step + rng.randint(0, 40_000), float(rng.randint(0, 99))) for i in range(1000)]
+        rows += new
+        frame = pd.DataFrame(new, columns=["user_id", "event_id", "ms", "value"])
+        frame[timers.MICROS] = frame.pop("ms") * 1000
+        assert not list(processor.handleInputRows((1,), iter([frame[:600], frame[600:]]), None))
+        fire(20_000 * step)
+        assert len(handle.timers) == 1
+    fire(10**9)
+    got = pd.concat(out)
+    nan = lambda x: None if math.isnan(x) else x
+    assert {(1, r[1]): tuple(nan(x) for x in r[2:6]) for r in got.itertuples(index=False)} == brute(rows)
+    assert not got["late"].any() and not handle.timers and not handle.stores["waiting"].map and handle.calls < len(rows) / 10
+
+
 def test_equals_oracle(spark):
     query, sql = load()[0]["o4_timer_lags"], load()[1]["o4_timer_lags"]
     assert oracle_check.compare(query(spark, SF), oracle_check.duck(SF), sql) is None
