@@ -80,13 +80,36 @@ def ngrams(toks: Column, low: int = 1, high: int = 2) -> Column:
     return out[0] if len(out) == 1 else F.concat(*out)
 
 
-def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: int = 1) -> DataFrame:
-    """One row per (id, n-gram) with the term frequency ``tf``; the tokens are computed once per row."""
+def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: int = 1, in_rows: bool = False) -> DataFrame:
+    """One row per (id, n-gram) with the term frequency ``tf``; the tokens are computed once per row.
+
+    ``in_rows`` is for a table whose ids mostly name one row: its terms are counted
+    inside the row and never shuffled. Only ids of several rows (NULL is an id too),
+    found by one aggregation over the ids, are counted by a shuffle of their terms.
+    """
+    if not in_rows:
+        return _shuffled_counts(df, id_col, toks, low, high)
+    several = materialize(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_several")), "several-rows")
+    same = F.col(id_col).eqNullSafe(F.col("_several"))
+    return _row_counts(df.join(several, same, "left_anti"), id_col, toks, low, high).unionByName(
+        _shuffled_counts(df.join(several, same, "left_semi"), id_col, toks, low, high))
+
+
+def _shuffled_counts(df: DataFrame, id_col: str, toks: Column, low: int, high: int) -> DataFrame:
     return df.select(id_col, toks.alias("_toks")).select(
         id_col, F.explode(ngrams(F.col("_toks"), low, high)).alias("term")
     ).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _row_counts(df: DataFrame, id_col: str, toks: Column, low: int, high: int) -> DataFrame:
+    """Term counts of each row: its sorted n-grams are cut where the term changes."""
+    ordered = df.select(id_col, toks.alias("_toks")).select(id_col, F.sort_array(ngrams(F.col("_toks"), low, high)).alias("_terms"))
+    cuts = F.filter(F.transform("_terms", lambda t, i: F.when((i == 0) | (t != F.get("_terms", i - 1)), i)), lambda i: i.isNotNull())
+    runs = ordered.select(id_col, "_terms", cuts.alias("_cuts")).select(id_col, F.explode(F.transform("_cuts", lambda at, j: F.struct(
+        F.get("_terms", at).alias("term"), (F.coalesce(F.get("_cuts", j + 1), F.size("_terms")) - at).cast("long").alias("tf")))).alias("_run"))
+    return runs.select(id_col, "_run.term", "_run.tf")
+
+
 def vocabulary(counts: DataFrame, cap: int | None = None) -> DataFrame:
     """All terms of the corpus with document frequency ``df``, or the ``cap`` most frequent (ties by term)."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
