@@ -106,3 +106,21 @@ def test_power_search_leaves_its_first_box(spark):
     rng = np.random.default_rng(9)
     lam = fit_power(spark.createDataFrame(pd.DataFrame({"x": np.power(1 + 4.5 * (0.5 + 0.05 * rng.normal(size=2000)), 1 / 4.5)})), "x")
     assert lam > 2.05
+
+
+@pytest.mark.parametrize("exclude", [True, False])
+def test_tiles_of_copies_and_blocks_match_brute_force(monkeypatch, exclude):
+    from panelwright.operators import neighbors as N
+
+    monkeypatch.setattr(N, "BLOCK_CELLS", 3000)
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 3, (700, 2)) * 1.1 + 5
+    side = pd.DataFrame({"id": np.arange(700)[::-1] // 2, "v": list(x)})
+    bad = pd.DataFrame({"id": [900, 901], "v": [np.array([np.nan, 1.0]), np.array([np.inf, 1.0])]})
+    got = N._tile_top_k(side[::7], pd.concat([side, bad], ignore_index=True), 4, exclude)
+    want = []
+    for q, v in zip(side["id"][::7], x[::7], strict=True):
+        d = np.sqrt(((v - x) ** 2).sum(1))
+        order = [j for j in np.lexsort((side["id"], d)) if not (exclude and side["id"][j] == q)][:4]
+        want += [(q, side["id"][j], d[j]) for j in order]
+    assert sorted(zip(got["query_id"], got["neighbor_id"], got["distance"], strict=True)) == sorted(want)  # copies tie exactly
