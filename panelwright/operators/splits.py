@@ -80,10 +80,15 @@ def fold_balance(df: DataFrame, fold: str, label: str) -> DataFrame:
 def bootstrap_weight(id_cols: Sequence[str], resample: int, seed: int = 0) -> Column:
     """How often a row occurs in a bootstrap resample: a Poisson(1) count from the hash."""
     u = uniform(*id_cols, seed=f"{seed}.{resample}")
-    weight = F.lit(0)
-    for p in POISSON_ONE:
-        weight = weight + (u >= p).cast("int")
-    return weight
+
+    def count(x: Column) -> Column:
+        found = F.when(x.isNull(), F.lit(None).cast("int"))
+        for k, p in enumerate(POISSON_ONE):
+            found = found.when(x < p, k)
+        return found.otherwise(len(POISSON_ONE))
+
+    # as an element of an array the number is made once a row, not once for every threshold
+    return F.get(F.transform(F.array(u), count), F.lit(0))
 
 
 def time_split(day: Column, cut) -> Column:
