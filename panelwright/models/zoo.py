@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer, RegexTokenizer, StopWordsRemover
@@ -136,8 +136,18 @@ def text_pipeline(text: str, stop_words: Sequence[str], bigrams: bool = True, mi
 
 def feature_grid_search(features: Pipeline, learner: Estimator, grid: Sequence[dict], df: DataFrame, ids: Sequence[str], fold: str, folds: int,
                         evaluator: Evaluator, label: str = "label") -> DataFrame:
-    """Mean metric per grid point of ``learner``; the features are fitted once per fold and written, not once per point."""
-    scores = np.zeros((folds, len(grid)))
+    """Mean metric per grid point of ``learner``; the features are fitted once per fold and written, not once per point.
+
+    Leading stages that need no fit are applied to the whole table once and written, not once per fold.
+    """
+    scores, stages = np.zeros((folds, len(grid))), features.getStages()
+    fixed = next((i for i, s in enumerate(stages) if isinstance(s, Estimator)), len(stages))
+    if 0 < fixed < len(stages):
+        inputs = [s.getInputCol() for s in stages[fixed:] if s.hasParam("inputCol")]
+        made_once = PipelineModel(stages[:fixed]).transform(df)
+        if len(inputs) == len(stages) - fixed:
+            made_once = made_once.select(*dict.fromkeys([*ids, fold, label, *[c for c in inputs if c in made_once.columns]]))
+        df, features = materialize(made_once, "fixed-features"), Pipeline(stages=stages[fixed:])
     for k in range(folds):
         model = features.fit(df.where(F.col(fold) != k))
         made = materialize(model.transform(df).select(*ids, fold, label, "features"), "fold-features")
