@@ -185,20 +185,22 @@ def online_lags(events: DataFrame, key: str, time: str, order: str, value: str,
             micros += b["_micros"].tolist()
             ids += b[order].tolist()
             values += b[value].astype(float).tolist()
-        rows = pd.DataFrame({"m": micros, "i": ids, "v": np.array(values, dtype=float)}).sort_values(["m", "i"], kind="stable")
-        passed = (rows["m"] <= state.getCurrentWatermarkMs() * 1000).to_numpy()
-        ready, waiting = rows[passed], rows[~passed]
-        seq = np.array([np.nan] * (lags - len(past)) + past + ready["v"].tolist(), dtype=float)
-        if len(ready):
-            upto = int(ready["m"].iloc[-1])
-        state.update((upto, (past + ready["v"].tolist())[-lags:], waiting["m"].tolist(), waiting["i"].tolist(), waiting["v"].tolist()))
-        if len(waiting):
-            state.setTimeoutTimestamp(int(waiting["m"].iloc[0]) // 1000 + 1)
-        if len(ready):
-            out = pd.DataFrame({key: group[0], order: ready["i"].to_numpy(), value: seq[lags:]})
-            for k, n in enumerate(names, 1):
-                out[n] = seq[lags - k:len(seq) - k]
-            yield out.assign(late=False)
+        # plain lists: a key has few rows, and frames for each of them would take most of the time
+        blank = [x is None or x != x for x in ids]
+        place = sorted(range(len(micros)), key=lambda i: (micros[i], blank[i], 0 if blank[i] else ids[i]))
+        watermark = state.getCurrentWatermarkMs() * 1000
+        cut = sum(m <= watermark for m in micros)
+        ready, waiting = place[:cut], place[cut:]
+        taken = [values[i] for i in ready]
+        seq = np.array([np.nan] * (lags - len(past)) + past + taken, dtype=float)
+        if ready:
+            upto = micros[ready[-1]]
+        state.update((upto, (past + taken)[-lags:], [micros[i] for i in waiting], [ids[i] for i in waiting], [values[i] for i in waiting]))
+        if waiting:
+            state.setTimeoutTimestamp(micros[waiting[0]] // 1000 + 1)
+        if ready:
+            yield pd.DataFrame({key: group[0], order: [ids[i] for i in ready], value: seq[lags:],
+                                **{n: seq[lags - k:len(seq) - k] for k, n in enumerate(names, 1)}, "late": False})
 
     timed = events.where(F.col(time).isNotNull()).withColumn("_micros", F.unix_micros(time))
     return timed.withWatermark(time, delay).groupBy(key).applyInPandasWithState(update, schema, kept, "append", "EventTimeTimeout")
