@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwright.features.base import FitError, StateEstimator, StateModel, freeze
 from panelwright.features.steps import (
@@ -27,16 +27,19 @@ GROUP_BINS = [0, 1, 2, 4, 10, INFINITY]
 DECK_LEVEL = {"A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "F": 6, "G": 7, "T": 8}
 
 
-def row_features(df: DataFrame) -> DataFrame:
-    """First-order features; only the group size looks at other rows of the given table."""
+def parsed(df: DataFrame) -> DataFrame:
+    """The given columns with the parts of their codes and names; each row for itself."""
     cabin = F.col("Cabin")
-    base = df.withColumns({
+    return df.withColumns({
         "Deck": extract(cabin, CABIN, 1), "Side": extract(cabin, CABIN, 3),
         "CabinNum": extract(cabin, CABIN, 2).cast("double"),
         "GroupNum": extract(F.col("PassengerId"), GROUP, 1).cast("bigint"),
         "Surname": F.try_element_at(words(F.col("Name")), F.lit(-1)),
     })
-    sized = with_group_stats(base, ["GroupNum"], {"GroupSize": F.count(F.lit(1))}, spread_by=["PassengerId"])
+
+
+def sized_features(sized: DataFrame) -> DataFrame:
+    """First-order features of parsed rows that know their ``GroupSize``."""
     filled = sized.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in SPEND})
     total = filled.withColumn("TotalSpend", row_sum(SPEND))
     shares = total.withColumns({
@@ -45,13 +48,22 @@ def row_features(df: DataFrame) -> DataFrame:
         **{f"{c}_NA": null_flag(c) for c in ("CryoSleep", "VIP", "CabinNum")},
     })
     known = shares.withColumns({
-        **{c: F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in ("CryoSleep", "VIP")},
+        **{c: flag(c) for c in ("CryoSleep", "VIP")},
         "CabinNum": F.coalesce("CabinNum", F.lit(-1.0)),
         **{c: F.coalesce(c, F.lit("Missing")) for c in LEVELS[:5]},
     })
     return known.withColumns({"DeckSide": cross("Deck", "Side"), "HomeDest": cross("HomePlanet", "Destination")}).drop("Cabin", "Name")
 
 
+def flag(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("int"), F.lit(0))
+
+
+def row_features(df: DataFrame) -> DataFrame:
+    """First-order features; only the group size looks at other rows of the given table."""
+    return sized_features(with_group_stats(parsed(df), ["GroupNum"], {"GroupSize": F.count(F.lit(1))}, spread_by=["PassengerId"]))
+
+
 class GroupSpendFeaturizer(StateEstimator):
     """Fits bin edges, group statistics and level tables."""
 
@@ -63,32 +75,45 @@ class GroupSpendFeaturizer(StateEstimator):
         self.use_fixed_group_bins, self.drop_cols = use_fixed_group_bins, list(drop_cols)
 
     def _fit(self, df: DataFrame) -> "GroupSpendFeaturizerModel":
-        rows = freeze(row_features(df), "voyage-rows")  # read by every statistic below
-        median = quantile_values(rows, ["Age"], [0.5])["Age"]
-        if not median:
-            raise FitError("column Age has no value")
+        return self.fit_rows(df)[0]
+
+    def fit_rows(self, df: DataFrame) -> tuple["GroupSpendFeaturizerModel", DataFrame]:
+        """The model, and the rows of ``df`` with its group statistics for ``raw_from_grouped``.
+
+        A table that is fitted and transformed is so parsed, shuffled by group and written once.
+        """
+        groups = self._groups(df)
+        columns = [c for c in groups.columns if c not in ("GroupNum", "_n")]
+        met = join_lookup(parsed(df), groups, ["GroupNum"], "_n", ["PassengerId"]).withColumnRenamed("_n", "GroupSize")
+        sized = sized_features(met)
+        # the group's statistics come last, as where they are joined to finished rows
+        rows = freeze(sized.select(*[c for c in sized.columns if c not in columns], *columns), "voyage-rows")  # read by every statistic below
 
         def steps(n: int) -> list[float]:
             return [i / n for i in range(n + 1)]
 
-        positive = rows.select(*[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in [*SPEND, "TotalSpend", "SpendPerPerson"]])
-        spend = quantile_values(positive, positive.columns, steps(self.n_spend_bins))
+        spends = [*SPEND, "TotalSpend", "SpendPerPerson"]
+        wanted = {"Age": [0.5], "CabinNum": steps(self.n_cabin_bins), **{c: steps(self.n_spend_bins) for c in spends}}
+        if not self.use_fixed_group_bins:
+            wanted["GroupSize"] = steps(self.n_group_bins)
+        probs = sorted({p for of in wanted.values() for p in of})
+        used = {**{c: F.when(F.col(c) > 0, F.col(c)) for c in spends}, "CabinNum": F.when(F.col("CabinNum") >= 0, F.col("CabinNum"))}
+        found = quantile_values(rows.select(*[used.get(c, F.col(c)).alias(c) for c in wanted]), list(wanted), probs)
+        edges = {c: [found[c][probs.index(p)] for p in of] if found[c] else [] for c, of in wanted.items()}
+        median = edges["Age"]
+        if not median:
+            raise FitError("column Age has no value")
         state = {
             "age_median": median[0],
             "age_edges": quantile_values(rows.select(F.coalesce("Age", F.lit(median[0])).alias("Age")), ["Age"],
                                          steps(self.n_age_bins))["Age"],
-            "spend_edges": {c: q or [0.0] for c, q in spend.items()},
-            "cabin_edges": quantile_values(rows.where(F.col("CabinNum") >= 0), ["CabinNum"], steps(self.n_cabin_bins))["CabinNum"],
-            "group_edges": GROUP_BINS if self.use_fixed_group_bins
-            else quantile_values(rows, ["GroupSize"], steps(self.n_group_bins))["GroupSize"],
+            "spend_edges": {c: edges[c] or [0.0] for c in spends},
+            "cabin_edges": edges["CabinNum"],
+            "group_edges": GROUP_BINS if self.use_fixed_group_bins else edges["GroupSize"],
             "drop_cols": self.drop_cols,
         }
-        gap = F.max("Age") - F.min("Age")
-        groups = rows.groupBy("GroupNum").agg(F.avg("CryoSleep").alias("GroupCryoFrac"), gap.alias("FamilyAgeGap"),
-                                              F.count(F.lit(1)).alias("_n"))
-        ages = exact_quantiles(rows, ["Age"], [0.5], ["GroupNum"]).select("GroupNum", F.col("q0").alias("GroupAgeMedian"))
         surnames = rows.groupBy("Surname").agg(F.count(F.lit(1)).alias("FamilySize"))
-        tables = {"groups": freeze(groups.join(ages, "GroupNum", "left"), "voyage-groups"),
+        tables = {"groups": groups,
                   "surnames": freeze(surnames.withColumn("_n", F.col("FamilySize")), "voyage-surnames")}
         rare = RareLevelCollapser(LEVELS, self.min_freq, base="levels").fit(rows)
         state["rare"] = rare.state
@@ -99,8 +124,16 @@ class GroupSpendFeaturizer(StateEstimator):
         state["one_hot"] = DomainOneHot(shown, drop_first=True, domains=rare.domains(shown)).fit(rows).state
         state["n_rows"] = rows.count()
         model = GroupSpendFeaturizerModel(state, tables)
-        state["names"] = [c for c in model.transform(df).columns if c not in NOT_FEATURES]
-        return model
+        state["names"] = [c for c in model.matrix(model.raw_from_grouped(rows)).columns if c not in NOT_FEATURES]
+        return model, rows
+
+    def _groups(self, df: DataFrame) -> DataFrame:
+        members = freeze(parsed(df).select("GroupNum", flag("CryoSleep").alias("CryoSleep"), "Age"), "voyage-members")
+        gap = F.max("Age") - F.min("Age")
+        groups = members.groupBy("GroupNum").agg(F.avg("CryoSleep").alias("GroupCryoFrac"), gap.alias("FamilyAgeGap"),
+                                                 F.count(F.lit(1)).alias("_n"))
+        ages = exact_quantiles(members, ["Age"], [0.5], ["GroupNum"]).select("GroupNum", F.col("q0").alias("GroupAgeMedian"))
+        return freeze(groups.join(ages, "GroupNum", "left"), "voyage-groups")
 
 
 class GroupSpendFeaturizerModel(StateModel):
@@ -109,9 +142,12 @@ class GroupSpendFeaturizerModel(StateModel):
         return self.raw_from_rows(row_features(df))
 
     def raw_from_rows(self, rows: DataFrame) -> DataFrame:
+        return self.raw_from_grouped(join_lookup(rows, self.tables["groups"], ["GroupNum"], "_n", ["PassengerId"]).drop("_n"))
+
+    def raw_from_grouped(self, rows: DataFrame) -> DataFrame:
+        """The raw view of rows that hold the statistics of their group."""
         s = self.state
         d = rows.withColumn("Age", F.coalesce("Age", F.lit(s["age_median"])))
-        d = join_lookup(d, self.tables["groups"], ["GroupNum"], "_n", ["PassengerId"]).drop("_n")
         d = join_lookup(d, self.tables["surnames"], ["Surname"], "_n", ["PassengerId"]).drop("_n")
         d = d.withColumns({
             "FamilySize": F.coalesce("FamilySize", F.lit(1)),
@@ -140,7 +176,10 @@ class GroupSpendFeaturizerModel(StateModel):
         return list(self.state["names"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        """The numeric matrix; ``drop_cols`` may name encoded columns too."""
-        scaled = PopulationScalerModel(self.state["scale"]).transform(self.raw_view(df))
+        return self.matrix(self.raw_view(df))
+
+    def matrix(self, raw: DataFrame) -> DataFrame:
+        """The numeric matrix of a raw view; ``drop_cols`` may name encoded columns too."""
+        scaled = PopulationScalerModel(self.state["scale"]).transform(raw)
         shares = scaled.withColumn("Surname", F.when(F.col("Surname") != "Other", F.col("FamilySize")).otherwise(F.lit(0)) / F.lit(self.state["n_rows"])) if "Surname" in scaled.columns else scaled
         return DomainOneHotModel(self.state["one_hot"]).transform(shares).drop(*self.state["drop_cols"])

@@ -160,8 +160,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                     keys: Sequence[str] = ()) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per (keys, column), columns ``q0..``.
 
-    Works on distinct values with counts and their running ranks, so unlike the
-    built-in exact ``percentile`` it never holds one group's values in one task.
+    A group of more than HOT_VALUES values works on distinct values with counts and
+    their running ranks, so unlike with the built-in exact ``percentile`` its values
+    never meet in one task; the values of other groups are sorted where they meet.
     Also returns the number of values ``n_values``. Rows with a NULL key form no
     group, as in pandas.
     """
@@ -170,9 +171,39 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         long = df.select(*keys, F.lit(0).alias("_col"), F.col(columns[0]).cast("double").alias("value"))
     else:
         long = df.select(*keys, F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_col", "value"))
+    if not keys:
+        return _ranked_quantiles(long, columns, probs, keys)
+    held = long.where(F.col("value").isNotNull() & _all_present(keys))
+    crowded = F.broadcast(held.groupBy(*keys, "_col").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_VALUES).drop("_n"))
+    few = _sorted_quantiles(held.join(crowded, [*keys, "_col"], "left_anti"), columns, probs, keys)
+    return few.unionByName(_ranked_quantiles(held.join(crowded, [*keys, "_col"], "left_semi"), columns, probs, keys))
+
+
+def _all_present(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
+def _ranked_quantiles(long: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles from the distinct values of a group, in as many tasks as it has value ranges."""
     ranked = value_counts_ranked(long, "value", [*keys, "_col"])
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
+    return _interpolated(ranked, F.col("cum_n") - F.col("n"), F.col("cum_n") - 1, columns, probs, keys)
+
+
+def _sorted_quantiles(long: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles of groups of at most HOT_VALUES values: one shuffle, each group sorted inside one task."""
+    value = F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value"))  # one zero, as after a grouping
+    group = Window.partitionBy(*keys, "_col").orderBy("value")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = long.select(*keys, "_col", value.alias("value")).select(
+        *keys, "_col", "value", (F.row_number().over(group) - 1).alias("_at"), F.count(F.lit(1)).over(whole).alias("tot_n"))
+    return _interpolated(ranked, F.col("_at"), F.col("_at"), columns, probs, keys)
+
 
+def _interpolated(ranked: DataFrame, first: Column, last: Column, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles of values that hold the sorted places ``first`` to ``last`` of the ``tot_n`` of their group."""
     def at(position: Column) -> Column:
         return F.max(F.when((first <= position) & (position <= last), F.col("value")))
 

@@ -317,7 +317,8 @@ SELECT PassengerId, {_quantile_bin_sql('A', 'ae', 6)} AS Age_qbin, CASE WHEN A <
 FROM q JOIN g USING (GroupNum) JOIN sn USING (Surname), e""")
 def voyage_features(spark, sf):
     df = voyagers(spark, sf)
-    out = GroupSpendFeaturizer(drop_cols=("GroupNum",)).fit(df).raw_view(df)
+    model, rows = GroupSpendFeaturizer(drop_cols=("GroupNum",)).fit_rows(df)
+    out = model.raw_from_grouped(rows)
     return out.select(
         "PassengerId", "Age_qbin", "Age_group_dom", "FamilySize", "CabinNum_qbin", "CabinSection", "FoodCourt_bin", "GroupSize_bin", "IsSolo",
         F.col("DeckLevel").cast("bigint").alias("DeckLevel"), rounded("GroupAgeMedian").alias("GroupAgeMedian"),
@@ -327,7 +328,8 @@ def voyage_features(spark, sf):
 @plan("j18_group_spend_matrix")
 def voyage_matrix(spark, sf):
     df = voyagers(spark, sf)
-    return GroupSpendFeaturizer(min_freq=0.02, use_fixed_group_bins=False).fit(df).transform(df)
+    model, rows = GroupSpendFeaturizer(min_freq=0.02, use_fixed_group_bins=False).fit_rows(df)
+    return model.matrix(model.raw_from_grouped(rows))
 
 
 def parts(spark, sf):
