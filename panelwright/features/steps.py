@@ -40,11 +40,13 @@ def bin_right_closed(c: Column, edges: Sequence[float], labels: Sequence | None
     labels = list(range(len(edges) - 1)) if labels is None else list(labels)
     if len(edges) < 2:
         return F.lit(default)
-    low = F.lit(edges[0])
-    out = F.when(c < low if include_lowest else c <= low, F.lit(default))
-    for edge, label in zip(edges[1:], labels, strict=True):
-        out = out.when(c <= F.lit(edge), F.lit(label))
-    return out.otherwise(F.lit(default))
+    if len(labels) != len(edges) - 1:
+        raise ValueError("one label for each bin")
+    low, high = F.lit(edges[0]), F.lit(edges[-1])
+    # a search in an array: a branch for each edge of many columns makes code that the JVM does not compile
+    below = F.size(F.filter(F.array(*[F.lit(e) for e in edges[1:]]), lambda e: e < c))
+    inside = F.get(F.array(*[F.lit(label) for label in labels]), below)
+    return F.when((c >= low if include_lowest else c > low) & (c <= high), inside).otherwise(F.lit(default))
 
 
 def zero_aware_bin(c: Column, edges: Sequence[float], default=-1) -> Column:
@@ -241,10 +243,13 @@ class DomainOneHotModel(StateModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         skip = 1 if self.state["drop_first"] else 0
-        hot = [F.coalesce(F.col(c).cast("string") == F.lit(lv), F.lit(False)).cast("double").alias(f"{c}_{lv}")
-               for c in self.state["columns"] for lv in self.state["domains"][c][skip:]]
+        # a text is searched once in its levels: a comparison of texts a level makes code that the JVM does not compile
+        shown = {c: self.state["domains"][c][skip:] for c in self.state["columns"] if self.state["domains"][c][skip:]}
+        met = df.select("*", *[F.coalesce(F.array_position(F.array(*[F.lit(lv) for lv in levels]), F.col(c).cast("string")), F.lit(0)).alias(f"_at_{c}")
+                               for c, levels in shown.items()])
+        hot = [(F.col(f"`_at_{c}`") == F.lit(i)).cast("double").alias(f"{c}_{lv}") for c, levels in shown.items() for i, lv in enumerate(levels, 1)]
         keep = [f"`{c}`" for c in df.columns if self.state["keep_input"] or c not in self.state["columns"]]
-        return df.select(*keep, *hot)
+        return met.select(*keep, *hot)
 
 
 class PopulationScaler(StateEstimator):
