@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from panelwright.functions import chunks as C
 from panelwright.operators.scale import join_lookup, running_totals
 from panelwright.sources.scratch import materialize
 
@@ -80,19 +81,26 @@ def ngrams(toks: Column, low: int = 1, high: int = 2) -> Column:
     return out[0] if len(out) == 1 else F.concat(*out)
 
 
-def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: int = 1, in_rows: bool = False) -> DataFrame:
+def term_counts(df: DataFrame, id_col: str, toks: Column, low: int = 1, high: int = 1, in_rows: bool = False, packed: bool = False) -> DataFrame:
     """One row per (id, n-gram) with the term frequency ``tf``; the tokens are computed once per row.
 
     ``in_rows`` is for a table whose ids mostly name one row: its terms are counted
     inside the row and never shuffled. Only ids of several rows (NULL is an id too),
     found by one aggregation over the ids, are counted by a shuffle of their terms.
+
+    ``packed`` writes the same counts as chunks of some 500,000 tokens for ``tfidf``;
+    ``chunks.unpacked`` gives their rows, without those of a NULL term.
     """
-    if not in_rows:
+    if not in_rows and not packed:
         return _shuffled_counts(df, id_col, toks, low, high)
     several = materialize(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_several")), "several-rows")
     same = F.col(id_col).eqNullSafe(F.col("_several"))
-    return _row_counts(df.join(several, same, "left_anti"), id_col, toks, low, high).unionByName(
-        _shuffled_counts(df.join(several, same, "left_semi"), id_col, toks, low, high))
+    alone, others = df.join(several, same, "left_anti"), _shuffled_counts(df.join(several, same, "left_semi"), id_col, toks, low, high)
+    if not packed:
+        return _row_counts(alone, id_col, toks, low, high).unionByName(others)
+    streams = C.pack_streams(alone.select(id_col, toks.alias("_toks")), id_col, "_toks", low, high)
+    with C.small_batches(df.sparkSession, 256):
+        return materialize(streams.unionByName(C.pack_counts(others, id_col)), "term-chunks")
 
 
 def _shuffled_counts(df: DataFrame, id_col: str, toks: Column, low: int, high: int) -> DataFrame:
@@ -119,16 +127,20 @@ def vocabulary(counts: DataFrame, cap: int | None = None) -> DataFrame:
 def tfidf(counts: DataFrame, id_col: str, n_docs: DataFrame, cap: int | None = None) -> DataFrame:
     """L2-normalised TF-IDF weights with smoothed idf over all terms, or over the ``cap`` most frequent.
 
-    ``n_docs`` is a one-row frame with ``n_docs``. Terms meet their idf in a
-    salted join; the norm is taken over the terms of one document.
+    ``counts`` are rows or packed; ``n_docs`` is a one-row frame with ``n_docs``. The
+    terms of a chunk meet their document frequencies there. The norm of a document
+    that one chunk holds is taken in it, that of others over their rows.
     """
-    counts = materialize(counts, "term-counts")  # texts are split into terms once
-    idf = materialize(vocabulary(counts, cap).join(F.broadcast(n_docs)).select(
-        "term", "df", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")), "idf")
-    raw = join_lookup(counts, idf, ["term"], "df", [id_col], "inner").select(
-        id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    spark = counts.sparkSession
+    if cap is not None:
+        counts = materialize(C.unpacked(counts, id_col) if C.is_packed(counts) else counts, "term-counts")
+        counts = counts.join(vocabulary(counts, cap).select("term"), "term", "left_semi")
+    if not C.is_packed(counts):
+        with C.small_batches(spark, 4096):
+            counts = materialize(C.pack_counts(counts, id_col), "term-chunks")
+    done, raw = C.weights(counts, id_col, n_docs.first()["n_docs"], "weight")
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
-    return raw.select(id_col, "term", F.try_divide("raw", norm).alias("weight"))
+    return done.unionByName(raw.select(id_col, "term", F.try_divide("raw", norm).alias("weight")))
 
 
 def top_words(df: DataFrame, label: str, terms: Column, k: int) -> DataFrame:

@@ -163,7 +163,7 @@ r AS (SELECT doc_id, c.term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) + 0.0 AS weight FROM r""")
 def tfidf(spark, sf):
     docs = scan(spark, sf, "documents")
-    counts = T.term_counts(spread(docs), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2, in_rows=True)
+    counts = T.term_counts(spread(docs), "doc_id", T.tokens(F.col("text"), 2, STOP), 1, 2, packed=True)
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))  # from the file footers
     return T.tfidf(counts, "doc_id", n).select("doc_id", "term", rounded("weight", 6).alias("weight"))
 
