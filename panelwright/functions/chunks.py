@@ -22,7 +22,7 @@ from panelwright.sources.scratch import materialize
 # Tokens of a chunk; the row that crosses this stays whole.
 CHUNK = 1 << 19
 # Tokens whose n-grams one task counts, about; repeats inside a chunk have been summed before.
-PART = 1 << 22
+PART = 1 << 21
 OUT_ROWS = 1 << 16
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -186,17 +186,18 @@ def is_packed(counts: DataFrame) -> bool:
 def _grams(codes: np.ndarray, words: pa.Array, low: int, high: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Where n-grams begin, which text each has, and the texts, all of them different."""
     base, at = len(words) + 1, np.flatnonzero(codes)
-    which, texts, first, found = codes[at].astype(np.int64) - 1, words, 0, []
+    which, texts, first, found = codes[at].astype(np.int32) - 1, words, 0, []
     for n in range(1, high + 1):
         if n > 1:
             inside = at + (n - 1) < len(codes)
             at, which = at[inside], which[inside]
             last = codes[at + (n - 1)].astype(np.int64)
-            at, keys = at[last > 0], (which * base + last)[last > 0]
+            at, keys = at[last > 0], (which.astype(np.int64) * base + last)[last > 0]
             pairs, which = np.unique(keys, return_inverse=True)
+            which = which.astype(np.int32)
             texts = pc.binary_join_element_wise(texts.take(pa.array(pairs // base)), words.take(pa.array(pairs % base - 1)), pa.scalar(" ", words.type))
         if n >= low:
-            found.append((at, which + first, texts))
+            found.append((at, which + np.int32(first), texts))
             first += len(texts)
     where, which, texts = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), pa.concat_arrays([f[2] for f in found])
     if high > 1 and pc.any(pc.match_substring(words, " ")).as_py():  # then words of different cuts may make the same text
@@ -210,11 +211,12 @@ def _postings(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     n, reader, words = row["_n_codes"], _Reader(row["_codes"]), _Reader(row["_words"])
     runs, codes = reader.numbers(len(row["_ids"])), reader.numbers(n)
     where, which, texts = _grams(codes, _texts(words.numbers(row["_n_words"]), words.rest()), row["_low"], row["_high"])
-    document = np.repeat(np.arange(len(runs)), runs)[where]
+    document = np.repeat(np.arange(len(runs), dtype=np.int32), runs)[where]
     if not row["_whole"]:
         return document, which, reader.numbers(n)[where].astype(np.int64), texts
-    pairs, tf = np.unique(document * max(1, len(texts)) + which, return_counts=True)
-    return pairs // max(1, len(texts)), pairs % max(1, len(texts)), tf, texts
+    terms = max(1, len(texts))
+    pairs, tf = np.unique(document.astype(np.int64) * terms + which, return_counts=True)
+    return (pairs // terms).astype(np.int32), (pairs % terms).astype(np.int32), tf, texts
 
 
 def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[dict]:
@@ -271,7 +273,10 @@ def _count(sent: pa.Table) -> pa.Table:
         sizes.append(reader.numbers(size))
         counts.append(reader.numbers(size))
         data.append(reader.rest())
-    which = _texts(np.concatenate(sizes), np.concatenate(data)).dictionary_encode().indices.to_numpy()
+    texts = _texts(np.concatenate(sizes), np.concatenate(data))
+    del sizes, data
+    which = texts.dictionary_encode().indices.to_numpy()
+    del texts
     df = np.bincount(which, weights=np.concatenate(counts)).astype(np.int64)[which]
     blobs = [_squeezed(_numbers(df[a:b])) for a, b in zip(borders, borders[1:])]
     return sent.select(["_part", "_chunk", "_whole", "_n"]).append_column("_dfs", pa.array(blobs, pa.binary()))

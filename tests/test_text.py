@@ -3,6 +3,7 @@ from collections import Counter
 from pathlib import Path
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
@@ -51,7 +52,9 @@ def plain_weights(counts, n_docs, terms=None):
     return {k: round(w / math.sqrt(norm[k[0]]), 9) for k, w in raw.items()}
 
 
-def test_tfidf_of_rows_and_of_chunks_with_repeated_ids(spark):
+@pytest.mark.parametrize("part", (C.PART, 4))
+def test_tfidf_of_rows_and_of_chunks_with_repeated_ids(spark, monkeypatch, part):
+    monkeypatch.setattr(C, "PART", part)  # of 4 n-grams: many parts
     df = spark.createDataFrame(ROWS + [(10 + i, ["a", f"w{i}", f"w{i % 3}"]) for i in range(40)], "id int, toks array<string>").repartition(3)
     n = df.agg(F.count(F.lit(1)).alias("n_docs"))
     rows = T.term_counts(df, "id", F.col("toks"), 1, 2)
